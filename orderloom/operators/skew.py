@@ -1,0 +1,55 @@
+"""Many-to-one joins that stay balanced when one key holds much of the left side.
+
+Adaptive execution splits a skewed sort-merge join only when both inputs come
+straight from a shuffle. Most joins here have an aggregate on the right, which is
+already partitioned on the key, so that rule does not apply and the rows of a hot
+key would all meet in one task. ``join_on_unique`` takes those keys out of the
+shuffle: their rows stay where they are and meet a broadcast of the few matching
+right rows. No row is dropped, capped or sampled.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, functions as F
+
+#: A key with more rows than this is joined by broadcast. One task sorts this many
+#: rows without trouble, and a table of N rows has fewer than N / HOT_ROWS such
+#: keys, which bounds both the key list and the broadcast.
+HOT_ROWS = 5_000_000
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list:
+    """Keys with more than ``hot_rows`` rows, counted with map-side combining."""
+    counts = df.groupBy(key).agg(F.count("*").alias("rows_of_key"))
+    hot = counts.where((F.col("rows_of_key") > hot_rows) & F.col(key).isNotNull())
+    return [row[0] for row in hot.select(key).collect()]
+
+
+def join_on_unique(
+    left: DataFrame,
+    rights: Sequence[DataFrame],
+    key: str,
+    how: str = "left",
+    hot: Sequence = (),
+) -> DataFrame:
+    """Join one after another to right sides that have at most one row per key.
+
+    ``hot`` lists the keys to keep out of the shuffle, as ``hot_keys`` finds them.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError(f"how must be left or inner, not {how!r}")
+
+    def chain(rows: DataFrame, sides: Sequence[DataFrame]) -> DataFrame:
+        for side in sides:
+            rows = rows.join(side, key, how)
+        return rows
+
+    if not hot:
+        return chain(left, rights)
+    # a null key is never hot; in a left join its rows must survive
+    is_hot = F.coalesce(F.col(key).isin(list(hot)), F.lit(False))
+    spread = chain(left.where(is_hot), [F.broadcast(side.where(is_hot)) for side in rights])
+    shuffled = chain(left.where(~is_hot), [side.where(~is_hot) for side in rights])
+    return shuffled.unionByName(spread)
