@@ -1,4 +1,4 @@
-"""Order-independent sums and means of two-decimal quantities.
+"""Order-independent sums and means of quantities with few decimals.
 
 A sum of doubles depends on the order in which partitions are merged, and a mean
 that falls on half a cent may then round either way. Here values are added as
@@ -15,30 +15,29 @@ UNITS = 10_000
 _PER_CENT = UNITS // 100
 
 
-def units(value: Column) -> Column:
-    """A quantity in whole ten-thousandths; null stays null."""
-    return F.round(value.cast("double") * UNITS).cast("bigint")
+def units(name: str) -> Column:
+    """A column in whole ten-thousandths; null stays null, and NaN becomes null."""
+    number = f"nanvl(CAST(`{name}` AS DOUBLE), CAST(NULL AS DOUBLE))"
+    return F.expr(f"CAST(round({number} * {UNITS}) AS BIGINT)")
 
 
-def half_up_div(numerator: Column, denominator: Column) -> Column:
+def _half_up(numerator: str, denominator: str) -> str:
     """Whole-number division rounding half away from zero (denominator > 0)."""
-    size = F.call_function("div", F.abs(numerator) * 2 + denominator, denominator * 2)
-    return F.when(numerator < 0, -size).otherwise(size)
+    size = f"((2 * abs({numerator}) + {denominator}) div (2 * {denominator}))"
+    return f"(CASE WHEN {numerator} < 0 THEN -{size} ELSE {size} END)"
 
 
-def rounded_sum(unit_column: Column) -> Column:
-    """Aggregate: sum of a units column, rounded to cents, as a double."""
-    total = F.sum(unit_column)
-    return half_up_div(total, F.lit(_PER_CENT).cast("bigint")) / F.lit(100.0)
+def to_cents(total: str) -> Column:
+    """A sum of units, rounded to cents, as a double."""
+    return F.expr(f"{_half_up(f'`{total}`', str(_PER_CENT))} / 100D")
 
 
-def rounded_avg(unit_column: Column) -> Column:
-    """Aggregate: mean of a units column over non-null rows, rounded to cents."""
-    n = F.count(unit_column)
-    # nullif keeps ANSI division quiet for groups that hold nulls only
-    return half_up_div(F.sum(unit_column), F.nullif(n, F.lit(0)) * _PER_CENT) / F.lit(100.0)
+def mean_to_cents(total: str, count: str) -> Column:
+    """A sum of units over a count, rounded to cents; null where nothing was counted."""
+    n = f"(nullif(`{count}`, 0) * {_PER_CENT})"
+    return F.expr(f"{_half_up(f'`{total}`', n)} / 100D")
 
 
-def exact_sum(unit_column: Column) -> Column:
-    """Aggregate: sum of a units column as a double, not rounded to cents."""
-    return F.sum(unit_column) / F.lit(float(UNITS))
+def unrounded(total: str) -> Column:
+    """A sum of units as a double."""
+    return F.expr(f"`{total}` / {UNITS}D")

@@ -83,8 +83,8 @@ def complete_rows(parts: OrderParts) -> DataFrame:
     inner joins, and the parts lose their incomplete rows before they are shuffled.
     """
     rows, sides = parts.driving()
-    complete = [clean.drop_incomplete(side) for side in sides]
-    return join_on_unique(clean.drop_incomplete(rows), complete, "order_id", "inner", parts.hot)
+    complete = [clean.all_present(side) for side in sides]
+    return join_on_unique(clean.all_present(rows), complete, "order_id", "inner", parts.hot)
 
 
 def build_basetable(parts: OrderParts, drop_subset: Iterable[str] | None = None) -> DataFrame:

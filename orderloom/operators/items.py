@@ -109,54 +109,73 @@ def prepare_items(items: DataFrame, products: DataFrame, stats: ItemStats) -> Da
     return stats.fill(with_products(items.dropDuplicates(), catalogue))
 
 
-def count_columns() -> list[Column]:
-    return [F.count("order_item_id").alias("total_items")]
+_SUMMED = ("price", "shipping_cost", *AVERAGED_MEASURES)
 
 
-def cost_columns() -> list[Column]:
-    """Totals and means of price and shipping cost, and means of four measures."""
-    price, shipping = money.units(F.col("price")), money.units(F.col("shipping_cost"))
-    total_price, total_shipping = money.rounded_sum(price), money.rounded_sum(shipping)
+def _order_sums(items_products: DataFrame, categories: Sequence[str] = ()) -> DataFrame:
+    """Raw counts and sums per order, all in one aggregation on order_id.
+
+    A category becomes a small number first, so that its columns compare numbers.
+    Items without price or shipping cost add nothing to their category.
+    """
+    slot = F.array_position(F.array(*[F.lit(name) for name in categories]), F.col(CATEGORY))
+    rows = items_products.select(
+        "order_id",
+        "order_item_id",
+        *[money.units(name).alias(name) for name in _SUMMED],
+        (slot if categories else F.lit(0)).alias("slot"),
+    )
+    aggregates = [F.count("order_item_id").alias("total_items")]
+    for name in _SUMMED:
+        aggregates += [F.sum(name).alias(f"sum_{name}"), F.count(name).alias(f"n_{name}")]
+    aggregates += [
+        F.expr(f"sum(CASE WHEN slot = {number} THEN price + shipping_cost END)").alias(f"slot_{number}")
+        for number in range(1, len(categories) + 1)
+    ]
+    return rows.groupBy("order_id").agg(*aggregates)
+
+
+def _costs() -> list[Column]:
+    means = {
+        f"average_{name}": money.mean_to_cents(f"sum_{name}", f"n_{name}") for name in _SUMMED
+    }
     return [
-        total_price.alias("total_price"),
-        total_shipping.alias("total_shipping_cost"),
-        money.rounded_avg(price).alias("average_price"),
-        money.rounded_avg(shipping).alias("average_shipping_cost"),
-        *[
-            money.rounded_avg(money.units(F.col(name))).alias(f"average_{name}")
-            for name in AVERAGED_MEASURES
-        ],
-        (total_price + total_shipping).alias("total_amount"),
+        money.to_cents("sum_price").alias("total_price"),
+        money.to_cents("sum_shipping_cost").alias("total_shipping_cost"),
+        means.pop("average_price").alias("average_price"),
+        means.pop("average_shipping_cost").alias("average_shipping_cost"),
+        *[value.alias(name) for name, value in means.items()],
     ]
 
 
-def category_columns(categories: Sequence[str]) -> list[Column]:
-    """Amount spent per category; items without price or shipping cost add nothing."""
-    amount = money.units(F.col("price")) + money.units(F.col("shipping_cost"))
+def _amounts(categories: Sequence[str]) -> list[Column]:
     return [
-        F.coalesce(money.exact_sum(F.when(F.col(CATEGORY) == name, amount)), F.lit(0.0))
-        .alias(AMOUNT_PREFIX + name)
-        for name in categories
+        F.coalesce(money.unrounded(f"slot_{number}"), F.lit(0.0)).alias(AMOUNT_PREFIX + name)
+        for number, name in enumerate(categories, 1)
     ]
 
 
 def items_per_order(items_products: DataFrame, categories: Sequence[str]) -> DataFrame:
-    """Counts, totals, means and category amounts in one aggregation on order_id."""
-    return items_products.groupBy("order_id").agg(
-        *count_columns(), *cost_columns(), *category_columns(categories)
-    )
+    """Item count, totals, means and the amount per category, one row per order."""
+    sums = _order_sums(items_products, categories)
+    rows = sums.select("order_id", "total_items", *_costs(), *_amounts(categories))
+    return _with_total(rows)
 
 
 def category_amounts(items_products: DataFrame, categories: Sequence[str]) -> DataFrame:
-    """Only the category columns, one row per order."""
-    return items_products.groupBy("order_id").agg(*category_columns(categories))
+    """Only the amount per category, one row per order."""
+    return _order_sums(items_products, categories).select("order_id", *_amounts(categories))
 
 
 def order_costs(items_products: DataFrame) -> DataFrame:
-    """Only the totals and means, one row per order."""
-    return items_products.groupBy("order_id").agg(*cost_columns())
+    """Only totals and means, one row per order."""
+    return _with_total(_order_sums(items_products).select("order_id", *_costs()))
 
 
 def items_counted(items_products: DataFrame) -> DataFrame:
     """Only the item count, one row per order."""
-    return items_products.groupBy("order_id").agg(*count_columns())
+    return _order_sums(items_products).select("order_id", "total_items")
+
+
+def _with_total(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("total_amount", F.expr("total_price + total_shipping_cost"))

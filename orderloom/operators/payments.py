@@ -15,10 +15,10 @@ def payment_facts(payments: DataFrame) -> DataFrame:
     alphabetically first. Callers select what they need; Spark drops the rest of
     the aggregates.
     """
-    value = money.units(F.col("payment_value"))
     first = F.struct("payment_sequential", "payment_type")
-    return (
+    facts = (
         payments.dropDuplicates()
+        .withColumn("units", money.units("payment_value"))
         .groupBy("order_id")
         .agg(
             F.min_by("payment_type", first).alias("payment_type"),
@@ -26,12 +26,16 @@ def payment_facts(payments: DataFrame) -> DataFrame:
             F.max("payment_sequential").alias("max_payment_sequential"),
             F.min("payment_installments").alias("min_payment_installments"),
             F.max("payment_installments").alias("max_payment_installments"),
-            money.rounded_sum(value).alias("total_payment_value"),
-            money.rounded_avg(value).alias("average_payment_value"),
             F.min("payment_value").alias("min_payment_value"),
             F.max("payment_value").alias("max_payment_value"),
+            F.sum("units").alias("total"),
+            F.count("units").alias("n"),
         )
     )
+    return facts.withColumns({
+        "total_payment_value": money.to_cents("total"),
+        "average_payment_value": money.mean_to_cents("total", "n"),
+    }).drop("total", "n")
 
 
 def payments_per_order(payments: DataFrame) -> DataFrame:

@@ -16,7 +16,13 @@ def review_score_by(basetable: DataFrame, group: str) -> DataFrame:
 
 def average_price_by_score(basetable: DataFrame) -> DataFrame:
     """Mean of the orders' average price per review score and delivery status."""
-    return basetable.groupBy("review_score", "DeliveryTimeStatus").agg(
-        F.count("*").alias("reviews"),
-        money.rounded_avg(money.units(F.col("average_price"))).alias("average_price"),
+    sums = (
+        basetable.withColumn("units", money.units("average_price"))
+        .groupBy("review_score", "DeliveryTimeStatus")
+        .agg(
+            F.count("*").alias("reviews"),
+            F.sum("units").alias("total"),
+            F.count("units").alias("n"),
+        )
     )
+    return sums.withColumn("average_price", money.mean_to_cents("total", "n")).drop("total", "n")

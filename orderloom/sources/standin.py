@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from orderloom.operators import clean
 from orderloom.sources.tables import OrderTables
 
 #: Purchase windows on the stand-in time line (inclusive bounds).
@@ -16,8 +17,18 @@ TRAINING = ("1995-01-01 00:00:00", "2000-06-30 23:59:59")
 HOLDOUT = ("2000-07-01 00:00:00", "2001-12-31 23:59:59")
 
 
-def _load(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+#: The columns used, so that reading needs no schema job.
+_COLUMNS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string",
+    "part": "p_partkey bigint, p_name string, p_type string, p_size int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+}
+
+
+def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    return spark.read.schema(_COLUMNS[table]).parquet(f"{folder}/{table}.parquet")
 
 
 def _later(ts: Column, days: Column | int = 0, hours: Column | int = 0) -> Column:
@@ -30,7 +41,7 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
     quantity = F.col("l_quantity")
     copies = F.array_repeat(F.lit(1), F.when(quantity == 1, 2).otherwise(1))
     return (
-        _load(spark, folder, "lineitem")
+        load(spark, folder, "lineitem")
         .select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_linenumber").alias("order_item_id"),
@@ -46,7 +57,7 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
 def products(spark: SparkSession, folder: str) -> DataFrame:
     key, size = F.col("p_partkey"), F.col("p_size")
     described = size % 10 != 0
-    return _load(spark, folder, "part").select(
+    return load(spark, folder, "part").select(
         key.alias("product_id"),
         F.when(described, F.length("p_name")).alias("product_name_lenght"),
         F.when(described, size * 20).alias("product_description_lenght"),
@@ -62,7 +73,7 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
 def orders(spark: SparkSession, folder: str) -> DataFrame:
     key, customer, day = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
     delivered = _later(day, 3 + customer % 20, key * 7 % 24)
-    return _load(spark, folder, "orders").select(
+    return load(spark, folder, "orders").select(
         key.alias("order_id"),
         F.col("o_orderstatus").alias("order_status"),
         _later(day, hours=key % 24).alias("order_purchase_timestamp"),
@@ -86,7 +97,7 @@ def orders_as_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def order_payments(spark: SparkSession, folder: str) -> DataFrame:
-    return _load(spark, folder, "lineitem").select(
+    return load(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("payment_sequential"),
         F.col("l_returnflag").alias("payment_type"),
@@ -98,7 +109,7 @@ def order_payments(spark: SparkSession, folder: str) -> DataFrame:
 def order_reviews(spark: SparkSession, folder: str) -> DataFrame:
     event = F.col("event_id")
     answered = F.col("event_type") != "error"
-    return _load(spark, folder, "events").select(
+    return load(spark, folder, "events").select(
         event.alias("review_id"),
         F.when((event % 5 == 0) & (event > 0), event - 1).otherwise(event).alias("order_id"),
         (1 + F.floor("value") % 5).cast("int").alias("review_score"),
@@ -119,8 +130,7 @@ def training_tables(spark: SparkSession, folder: str) -> OrderTables:
 
 def holdout_tables(spark: SparkSession, folder: str) -> OrderTables:
     """The holdout files: orders bought after the training window, with their rows."""
-    bought = F.col("order_purchase_timestamp")
-    later_orders = orders(spark, folder).where(bought.between(*[F.lit(t).cast("timestamp_ntz") for t in HOLDOUT]))
+    later_orders = clean.in_time_range(orders(spark, folder), "order_purchase_timestamp", *HOLDOUT)
     keys = later_orders.select("order_id")
     return OrderTables(
         orders=later_orders,
