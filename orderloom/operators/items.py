@@ -110,29 +110,40 @@ def prepare_items(items: DataFrame, products: DataFrame, stats: ItemStats) -> Da
 
 
 _SUMMED = ("price", "shipping_cost", *AVERAGED_MEASURES)
+#: With more categories than this, rows are summed per order and category first.
+WIDE = 16
 
 
 def _order_sums(items_products: DataFrame, categories: Sequence[str] = ()) -> DataFrame:
-    """Raw counts and sums per order, all in one aggregation on order_id.
+    """Counts and sums per order, in one aggregation on order_id.
 
     A category becomes a small number first, so that its columns compare numbers.
     Items without price or shipping cost add nothing to their category.
+
+    One column per category makes wide rows, and combining before the shuffle would
+    send them across the network nearly empty. Many categories are therefore summed in
+    long form first; what then moves to its order is narrow, at most one row per
+    category, and turns wide only where it stays.
     """
     slot = F.array_position(F.array(*[F.lit(name) for name in categories]), F.col(CATEGORY))
     rows = items_products.select(
         "order_id",
-        "order_item_id",
-        *[money.units(name).alias(name) for name in _SUMMED],
         (slot if categories else F.lit(0)).alias("slot"),
-    )
-    aggregates = [F.count("order_item_id").alias("total_items")]
-    for name in _SUMMED:
-        aggregates += [F.sum(name).alias(f"sum_{name}"), F.count(name).alias(f"n_{name}")]
-    aggregates += [
-        F.expr(f"sum(CASE WHEN slot = {number} THEN price + shipping_cost END)").alias(f"slot_{number}")
+        F.expr("int(order_item_id IS NOT NULL)").alias("total_items"),
+        *[money.units(name).alias(f"sum_{name}") for name in _SUMMED],
+        *[F.expr(f"int({name} IS NOT NULL)").alias(f"n_{name}") for name in _SUMMED],
+    ).withColumn("amount", F.expr("sum_price + sum_shipping_cost"))
+    sums = [
+        F.sum(name).alias(name) for name in rows.columns if name not in ("order_id", "slot", "amount")
+    ]
+    if len(categories) > WIDE:
+        per_category = rows.groupBy("order_id", "slot").agg(*sums, F.sum("amount").alias("amount"))
+        rows = per_category.repartition("order_id")
+    amounts = [
+        F.expr(f"sum(CASE WHEN slot = {number} THEN amount END)").alias(f"slot_{number}")
         for number in range(1, len(categories) + 1)
     ]
-    return rows.groupBy("order_id").agg(*aggregates)
+    return rows.groupBy("order_id").agg(*sums, *amounts)
 
 
 def _costs() -> list[Column]:
