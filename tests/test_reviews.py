@@ -1,0 +1,109 @@
+from __future__ import annotations
+
+from conftest import rows, ts
+from pyspark.sql import Window, functions as F
+
+from orderloom.operators import reviews
+
+SCHEMA = (
+    "review_id string, order_id string, review_score int, review_creation_date timestamp_ntz, "
+    "review_answer_time timestamp_ntz"
+)
+
+
+def sample(spark):
+    day = "2021-01-0"
+    data = [
+        ("r1", "one", 5, ts(day + "1"), ts(day + "2 10:00:00")),
+        ("r2", "two", 1, ts(day + "1"), ts(day + "2")),
+        ("r3", "two", 4, ts(day + "3"), ts(day + "5")),
+        ("r4", "tie", 2, ts(day + "1"), ts(day + "4")),
+        ("r5", "tie", 3, ts(day + "1"), ts(day + "4")),
+        ("r6", "tie", 3, ts(day + "1"), ts(day + "3")),
+        ("r7", "unanswered", None, None, None),
+        ("r8", "never", 3, None, None),
+        ("r9", "never", 3, None, None),
+        ("r0", None, 3, ts(day + "1"), ts(day + "2")),
+    ]
+    return spark.createDataFrame(data, SCHEMA)
+
+
+def test_answer_time_from_creation_date(spark):
+    df = spark.createDataFrame(
+        [("a", "o", 1, ts("2021-02-28 17:00:00"), None), ("b", "o", 1, ts("2021-02-28"), ts("2021-03-05"))],
+        SCHEMA,
+    )
+    filled = reviews.fill_answer_time(df)
+    assert filled.columns == df.columns
+    assert rows(filled, "review_id", "review_answer_time") == [
+        ("a", ts("2021-03-01 00:00:00")), ("b", ts("2021-03-05")),
+    ]
+
+
+def test_latest_keeps_ties_and_lone_reviews(spark):
+    kept = reviews.latest_reviews(sample(spark))
+    assert kept.columns == sample(spark).columns
+    assert rows(kept, "review_id") == [("r1",), ("r3",), ("r4",), ("r5",), ("r7",)]
+
+
+def test_latest_equals_split_and_union(spark):
+    df = sample(spark)
+    united = reviews.single_and_latest(df)
+    assert rows(united, "review_id", "review_count") == [
+        ("r1", 1), ("r3", 2), ("r4", 3), ("r5", 3), ("r7", 1),
+    ]
+    assert rows(united, *df.columns) == rows(reviews.latest_reviews(df))
+
+
+def test_latest_equals_window(spark, folder):
+    from orderloom.plans.queries import _reviews
+
+    df = _reviews(spark, folder)
+    newest = F.max("review_answer_time").over(Window.partitionBy("order_id"))
+    by_window = df.withColumn("m", newest).where("review_answer_time = m").drop("m")
+    assert rows(reviews.latest_reviews(df)) == rows(by_window)
+
+
+def test_latest_does_not_depend_on_partitions(spark):
+    df = sample(spark)
+    expected = rows(reviews.latest_reviews(df))
+    for n in (1, 7):
+        assert rows(reviews.latest_reviews(df.repartition(n))) == expected
+
+
+def test_unique_latest(spark):
+    kept = reviews.latest_review_unique(sample(spark))
+    assert kept.columns == sample(spark).columns
+    assert rows(kept, "order_id", "review_id") == [
+        ("never", "r9"), ("one", "r1"), ("tie", "r5"), ("two", "r3"), ("unanswered", "r7"),
+    ]
+
+
+def test_counts(spark):
+    df = sample(spark)
+    assert rows(reviews.review_count_histogram(df)) == [(1, 2), (2, 2), (3, 1)]
+    attached = rows(reviews.attach_review_count(df), "review_id", "review_count")
+    assert attached[:2] == [("r0", None), ("r1", 1)] and len(attached) == 10
+    # every order counted as hot: same rows through the broadcast side
+    assert rows(reviews.attach_review_count(df, hot_rows=0), "review_id", "review_count") == attached
+
+
+def test_label_and_features(spark):
+    data = [("a", "o", s, ts("2023-01-01"), ts("2023-01-03 12:00:00")) for s in (3, 4, None)]
+    out = reviews.add_review_features(spark.createDataFrame(data, SCHEMA))
+    assert [r.label for r in out.orderBy("review_score").collect()] == [1, 0, 1]
+    first = out.first()
+    assert (first.DaysTakenForReview, first.review_time_of_day) == (2, "afternoon")
+    assert (first.review_weekend_or_weekday, first.day_of_the_week, first.month) == (
+        "weekday", "Wednesday", "January",
+    )
+
+
+def test_prepared_schema(spark, folder):
+    from orderloom.sources import standin
+
+    prepared = reviews.prepare_reviews(standin.order_reviews(spark, folder))
+    assert prepared.columns == [
+        "review_id", "order_id", "review_score", "review_creation_date", "review_answer_time", "label",
+        "DaysTakenForReview", "review_time_of_day", "review_weekend_or_weekday", "day_of_the_week", "month",
+    ]
