@@ -14,17 +14,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-#: A key with more rows than this is joined by broadcast. One task sorts this many
-#: rows without trouble, and a table of N rows has fewer than N / HOT_ROWS such
-#: keys, which bounds both the key list and the broadcast.
+#: A key with more rows than this is joined by broadcast; one task sorts that many
+#: rows without trouble.
 HOT_ROWS = 5_000_000
+#: Bounds the key list and with it the broadcast. Of N rows every further key has at
+#: most N / HOT_KEYS, which is an ordinary partition, and is joined by shuffle.
+HOT_KEYS = 10_000
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list:
-    """Keys with more than ``hot_rows`` rows, counted with map-side combining."""
+    """The heaviest keys with more than ``hot_rows`` rows, counted with map-side combining."""
     counts = df.groupBy(key).agg(F.count("*").alias("rows_of_key"))
     hot = counts.where((F.col("rows_of_key") > hot_rows) & F.col(key).isNotNull())
-    return [row[0] for row in hot.select(key).collect()]
+    return [row[0] for row in hot.orderBy(F.desc("rows_of_key")).limit(HOT_KEYS).collect()]
 
 
 def join_on_unique(
