@@ -121,6 +121,18 @@ def strong_columns(
     ]
 
 
+def used_categoricals(names: Iterable[str]) -> dict[str, str]:
+    """The categoricals whose indicators are among the model columns."""
+    wanted = set(names)
+    return {raw: stem for raw, stem in CATEGORICALS.items() if stem + DUMMY in wanted}
+
+
+def raw_columns(basetable: DataFrame, names: Iterable[str]) -> list[str]:
+    """The base-table columns that the model columns are made of."""
+    names = list(names)
+    return [name for name in names if name in basetable.columns] + list(used_categoricals(names))
+
+
 def select_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[F.col(name) for name in names])
 

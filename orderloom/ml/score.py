@@ -10,13 +10,14 @@ from pyspark.ml.classification import DecisionTreeClassificationModel
 from pyspark.sql import DataFrame
 
 from orderloom.ml.encode import (
-    PAYMENT_CATEGORICALS,
     STRONG_CATEGORIES,
     assemble,
     encode,
     encoder,
+    raw_columns,
     select_columns,
     strong_columns,
+    used_categoricals,
 )
 from orderloom.ml.models import fit_tree
 from orderloom.ml.split import split_by_key
@@ -57,9 +58,8 @@ def fit_scorer(
     names = strong_columns(categories)
     base = training_basetable(tables, stats, window)
     # indexing and growing the tree read the table again and again
-    used = [name for name in names if name in base.columns]
-    rows = cut_lineage(base.select(*used, *PAYMENT_CATEGORICALS))
-    encoding = encoder(PAYMENT_CATEGORICALS, unseen="keep").fit(rows)
+    rows = cut_lineage(base.select(*raw_columns(base, names)))
+    encoding = encoder(used_categoricals(names), unseen="keep").fit(rows)
     model_rows = assemble(select_columns(encode(rows, encoding), names))
     train, _ = split_by_key(model_rows)
     return Scorer(stats, encoding, fit_tree(train), categories)

@@ -84,6 +84,20 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return row.select(F.inline(F.array(*[F.col(name) for name in columns])))
 
 
+def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, count, min, max) of text columns, in text order."""
+    def summary(name: str) -> Column:
+        return F.struct(
+            F.lit(name).alias("column_name"),
+            F.count(name).alias("count"),
+            F.min(name).alias("min"),
+            F.max(name).alias("max"),
+        )
+
+    row = df.agg(*[summary(name).alias(name) for name in columns])
+    return row.select(F.inline(F.array(*[F.col(name) for name in columns])))
+
+
 def group_counts(df: DataFrame, key: str, counted: str, name: str) -> DataFrame:
     """Non-null values of ``counted`` per key."""
     return df.groupBy(key).agg(F.count(counted).alias(name))

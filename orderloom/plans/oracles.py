@@ -465,6 +465,12 @@ def statements() -> dict[str, str]:
             f"SELECT DISTINCT '{c}' AS column_name, {text(c)} AS value FROM order_payments"
             for c in ("payment_type", "payment_installments", "payment_sequential"))),
         "describe_numeric": w(" UNION ALL ".join(map(describe, ("order_item_id", "price", "shipping_cost")))),
+        "describe_text": w(" UNION ALL ".join(
+            f"SELECT '{raw}' AS column_name, count(*) AS count, min(v) AS min, max(v) AS max FROM "
+            f"(SELECT coalesce(CAST({column} AS VARCHAR), 'NA') AS v FROM orders_text)"
+            for raw, column in (
+                ("order_id", "order_id"), ("order_status", "order_status"),
+                ("order_approved_at", "order_approved_at_time")))),
         "nonpositive_probe":
             "SELECT l_orderkey AS order_id, l_extendedprice * l_discount AS price, "
             "l_extendedprice * l_tax AS shipping_cost FROM lineitem "

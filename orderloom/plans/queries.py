@@ -106,6 +106,13 @@ def describe_numeric(spark: SparkSession, sf: str) -> DataFrame:
     return summary.withColumns({name: F.round(name, 4) for name in ("mean", "stddev")})
 
 
+@query
+def describe_text(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.describe_text(
+        standin.orders_as_text(spark, sf), ["order_id", "order_status", "order_approved_at"]
+    )
+
+
 @query
 def nonpositive_probe(spark: SparkSession, sf: str) -> DataFrame:
     """Rebates and taxes as amounts: some line items have neither."""
@@ -493,9 +500,9 @@ def report_price_delivery(spark: SparkSession, sf: str) -> DataFrame:
 # --- encoding and splits -----------------------------------------------------
 
 
-def _stored_basetable(spark: SparkSession, sf: str) -> DataFrame:
-    """The base table behind a checkpoint, for fits that read it repeatedly."""
-    return cut_lineage(_basetable(spark, sf))
+def _stored(df: DataFrame, *names: str) -> DataFrame:
+    """The columns behind a checkpoint, for fits that read them repeatedly."""
+    return cut_lineage(df.select(*names))
 
 
 def _digits(vector: Column) -> Column:
@@ -505,24 +512,25 @@ def _digits(vector: Column) -> Column:
 
 
 def _model_rows(spark: SparkSession, sf: str, strong: bool = False) -> DataFrame:
-    rows = _stored_basetable(spark, sf)
-    encoded = encode.encode(rows, encode.encoder().fit(rows))
-    found = [name.removeprefix(items.AMOUNT_PREFIX) for name in rows.columns
+    base = _basetable(spark, sf)
+    found = [name.removeprefix(items.AMOUNT_PREFIX) for name in base.columns
              if name.startswith(items.AMOUNT_PREFIX)]
     names = encode.strong_columns(STRONG) if strong else encode.model_columns(found)
-    return encode.select_columns(encoded, names)
+    rows = _stored(base, *encode.raw_columns(base, names))
+    fitted = encode.encoder(encode.used_categoricals(names)).fit(rows)
+    return encode.select_columns(encode.encode(rows, fitted), names)
 
 
 @query
 def string_index(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _stored_basetable(spark, sf)
+    rows = _stored(_basetable(spark, sf), "review_id", "order_id", *encode.CATEGORICALS)
     indexer = encode.encoder().getStages()[0].fit(rows)
     return indexer.transform(rows).select("review_id", "order_id", *indexer.getOutputCols())
 
 
 @query
 def one_hot(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _stored_basetable(spark, sf)
+    rows = _stored(_basetable(spark, sf), "review_id", "order_id", *encode.CATEGORICALS)
     encoded = encode.encoder().fit(rows).transform(rows)
     names = [stem + encode.DUMMY for stem in encode.CATEGORICALS.values()]
     return encoded.select("review_id", "order_id", *[_digits(F.col(n)).alias(n) for n in names])
@@ -531,7 +539,7 @@ def one_hot(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def encode_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     """Fitted on training rows with a slot for unseen values, applied to the holdout."""
-    rows = _stored_basetable(spark, sf)
+    rows = _stored(_basetable(spark, sf), *encode.PAYMENT_CATEGORICALS)
     fitted = encode.encoder(encode.PAYMENT_CATEGORICALS, unseen="keep").fit(rows)
     encoded = fitted.transform(basetable_holdout(spark, sf))
     names = [stem + encode.DUMMY for stem in encode.PAYMENT_CATEGORICALS.values()]

@@ -80,3 +80,29 @@ def test_scan_reads_only_what_is_used(spark, folder, shuffled):
 def test_filter_reaches_the_scan(spark, folder, shuffled):
     text = plan(standin.order_payments(spark, folder).where(F.col("payment_value") > 5))
     assert "GreaterThan(l_extendedprice,5.0)" in text
+
+
+def test_ties_of_one_order_are_split_at_run_time(spark):
+    """A third of all reviews share order and time; adaptive execution splits them."""
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.0",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    }
+    df = spark.range(0, 60_000, 1, 8).selectExpr(
+        "md5(string(id)) AS review_id",
+        "if(id % 3 = 0, -1, id) AS order_id",
+        "timestamp_ntz'2021-01-01' + make_dt_interval(if(id % 3 = 0, 1, int(id % 7))) AS review_answer_time",
+    )
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    try:
+        latest = reviews.latest_reviews(df).groupBy().agg(F.count("review_id"))
+        assert latest.collect()[0][0] == 60_000
+        assert "SortMergeJoin(skew=true)" in plan(latest)
+    finally:
+        for name in changed:
+            spark.conf.unset(name)

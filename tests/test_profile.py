@@ -44,3 +44,7 @@ def test_counts_and_checks(spark):
     assert rows(profile.group_counts(df, "k", "n", "c")) == [("a", 2), ("b", 1), (None, 1)]
     checks = profile.count_checks(df, {"equal": F.col("n") == F.col("x"), "any": F.col("n") > 0})
     assert rows(checks) == [("any", 4), ("equal", 0)]
+
+
+def test_describe_text(spark):
+    assert rows(profile.describe_text(table(spark), ["k"])) == [("k", 4, "a", "b")]
