@@ -17,16 +17,24 @@ from pyspark.sql import DataFrame, functions as F
 #: A key with more rows than this is joined by broadcast; one task sorts that many
 #: rows without trouble.
 HOT_ROWS = 5_000_000
-#: Bounds the key list and with it the broadcast. Of N rows every further key has at
-#: most N / HOT_KEYS, which is an ordinary partition, and is joined by shuffle.
+#: Bounds the key list and with it the broadcast.
 HOT_KEYS = 10_000
+#: Size of the sketch. It surely holds every key with more than about one in
+#: 25,000 of all rows; any lighter key is an ordinary partition.
+TRACKED = 100_000
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list:
-    """The heaviest keys with more than ``hot_rows`` rows, counted with map-side combining."""
-    counts = df.groupBy(key).agg(F.count("*").alias("rows_of_key"))
-    hot = counts.where((F.col("rows_of_key") > hot_rows) & F.col(key).isNotNull())
-    return [row[0] for row in hot.orderBy(F.desc("rows_of_key")).limit(HOT_KEYS).collect()]
+    """The heaviest keys with more than ``hot_rows`` rows.
+
+    A frequent-items sketch finds them in one scan of the key column, without a
+    shuffle. It only decides how a key is joined, so a key it misses or reports at
+    the edge of the threshold changes the balance of the work and never the rows.
+    """
+    sketch = F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, {TRACKED})")
+    heaviest = df.agg(sketch.alias("items")).select(F.inline("items"))
+    hot = heaviest.where((F.col("count") > hot_rows) & F.col("item").isNotNull())
+    return [row["item"] for row in hot.collect()]
 
 
 def join_on_unique(
