@@ -24,6 +24,10 @@ HOT_KEYS = 10_000
 TRACKED = 100_000
 
 
+#: Right rows of hot keys that may be broadcast. One per key is expected.
+BROADCAST_ROWS = 10 * HOT_KEYS
+
+
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list:
     """The heaviest keys with more than ``hot_rows`` rows.
 
@@ -47,6 +51,8 @@ def join_on_unique(
     """Join one after another to right sides that have at most one row per key.
 
     ``hot`` lists the keys to keep out of the shuffle, as ``hot_keys`` finds them.
+    Where there are any, the right rows they meet are counted first; a side that
+    turns out to repeat its keys is left to Spark's own choice of join.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be left or inner, not {how!r}")
@@ -56,10 +62,14 @@ def join_on_unique(
             rows = rows.join(side, key, how)
         return rows
 
+    def checked(side: DataFrame) -> DataFrame:
+        small = side.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+        return F.broadcast(side) if small else side
+
     if not hot:
         return chain(left, rights)
     # a null key is never hot; in a left join its rows must survive
     is_hot = F.coalesce(F.col(key).isin(list(hot)), F.lit(False))
-    spread = chain(left.where(is_hot), [F.broadcast(side.where(is_hot)) for side in rights])
+    spread = chain(left.where(is_hot), [checked(side.where(is_hot)) for side in rights])
     shuffled = chain(left.where(~is_hot), [side.where(~is_hot) for side in rights])
     return shuffled.unionByName(spread)

@@ -94,6 +94,18 @@ def test_hot_keys_and_balanced_join(spark):
         join_on_unique(left, [right], "k", "full")
 
 
+def test_right_side_that_repeats_its_keys_is_not_broadcast(spark, monkeypatch):
+    from orderloom.operators import skew
+
+    left = spark.createDataFrame([("h", 1), ("c", 2)], "k string, n int")
+    right = spark.createDataFrame([("h", str(n)) for n in range(5)] + [("c", "x")], "k string, v string")
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 4)
+    joined = join_on_unique(left, [right], "k", "left", ["h"])
+    assert rows(joined) == rows(left.join(right, "k", "left"))
+    hints = joined._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in hints
+
+
 def test_hot_rows_are_not_shuffled(spark):
     left = spark.range(1000).selectExpr("if(id % 3 = 0, 7, id) AS k", "id AS n")
     right = spark.range(1000).selectExpr("id AS k", "id * 2 AS v").groupBy("k").sum("v")
