@@ -78,3 +78,37 @@ SELECT doc_id, size, source_size, target,
        (passes * size + least(size, greatest(0, rest - before)))::BIGINT AS taken
 FROM r
 """
+
+ORACLES["op6_lines"] = r"""
+WITH l AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line_no
+    FROM documents
+), n AS (
+    SELECT doc_id, line_no, trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm FROM l
+), w AS (
+    SELECT * FROM n WHERE norm <> ''
+), f AS (
+    SELECT norm, min((doc_id::HUGEINT * 2147483648) + line_no) AS first FROM w GROUP BY norm
+), h AS (
+    SELECT norm, first, b.base, k.side,
+           CASE WHEN k.side = 0 THEN left(norm, (b.base // 2)::INT) ELSE right(norm, (b.base - (b.base // 2))::INT) END AS half
+    FROM (SELECT *, length(norm) AS size FROM f WHERE length(norm) >= 20),
+         LATERAL (SELECT unnest([size, size - 1]) AS base) AS b, (SELECT unnest([0, 1]) AS side) AS k
+    WHERE b.base >= 20
+), g AS (
+    SELECT x.norm, min(y.first) AS near
+    FROM h AS x JOIN h AS y ON x.base = y.base AND x.side = y.side AND x.half = y.half AND y.first < x.first
+    WHERE levenshtein(x.norm, y.norm) <= 1
+    GROUP BY x.norm
+), d AS (
+    SELECT w.doc_id, w.line_no
+    FROM w JOIN f USING (norm) LEFT JOIN g USING (norm)
+    WHERE w.doc_id::HUGEINT * 2147483648 + w.line_no > f.first OR g.near IS NOT NULL
+), s AS (
+    SELECT doc_id, count(*) AS n_dropped, string_agg(line_no::VARCHAR, ',' ORDER BY line_no) AS dropped FROM d GROUP BY doc_id
+)
+SELECT doc_id, len(string_split(coalesce(text, ''), chr(10)))::BIGINT AS n_lines,
+       coalesce(n_dropped, 0)::BIGINT AS n_dropped, coalesce(dropped, '') AS dropped_lines
+FROM documents LEFT JOIN s USING (doc_id)
+"""

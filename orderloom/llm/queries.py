@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderloom.llm import chat, exact, langid, mixing, packing, repetition, secrets, simhash, warc
+from orderloom.llm import chat, exact, langid, lines, mixing, packing, repetition, secrets, simhash, warc
 from orderloom.llm.stages import stage
 from orderloom.session import shared_path
 
@@ -57,6 +57,18 @@ def op5_warc(spark: SparkSession, sf: str) -> DataFrame:
     return warc.page_records(spark, path)
 
 
+def op6_lines(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    gone = lines.duplicate_lines(docs).groupBy(F.col("doc_id").alias("gone_id")).agg(
+        F.count("*").alias("n_gone"), F.array_sort(F.collect_list("line_no")).alias("gone")
+    )
+    all_lines = docs.select("doc_id", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("bigint").alias("n_lines"))
+    return all_lines.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left").select(
+        "doc_id", "n_lines", F.coalesce("n_gone", F.lit(0)).cast("bigint").alias("n_dropped"),
+        F.coalesce(F.array_join("gone", ","), F.lit("")).alias("dropped_lines"),
+    )
+
+
 def op7_language(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text", "lang")
     guessed = langid.predict(docs.select("doc_id", "text"), langid.fit(docs))
@@ -91,5 +103,5 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     q.__name__: q
-    for q in (op1_packing, op2_secrets, op3_simhash, op4_exact, op5_warc, op7_language, op8_chat, op9_mixing, op10_repetition)
+    for q in (op1_packing, op2_secrets, op3_simhash, op4_exact, op5_warc, op6_lines, op7_language, op8_chat, op9_mixing, op10_repetition)
 }

@@ -29,7 +29,7 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def attach(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+def attach(rows: DataFrame, groups: DataFrame, key: str | list[str], size: str) -> DataFrame:
     """``rows`` with the columns of their key's row in ``groups`` (inner join).
 
     ``groups`` has one row per key and the number of rows of that key in ``size``. Keys
@@ -38,8 +38,9 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame
     other rows meet their group in a shuffled join. Both inputs are read twice and should
     be stage tables. Null keys match nothing.
     """
+    key = [key] if isinstance(key, str) else key
     total = groups.agg(F.sum(size)).first()[0] or 0
     hot = F.broadcast(groups.where(F.col(size) > total * HOT_SHARE))
-    even = rows.join(hot.select(key), key, "left_anti")
+    even = rows.join(hot.select(*key), key, "left_anti")
     cold = groups.where(F.col(size) <= total * HOT_SHARE)
     return rows.join(hot, key).unionByName(even.join(cold, key))

@@ -1,0 +1,81 @@
+from __future__ import annotations
+
+import hashlib
+
+import pytest
+from orderloom.llm import warc
+from orderloom.session import shared_path
+
+PAGES = "page_id bigint, url string, html string"
+
+
+def pages(spark):
+    long = "é<p>\r\n\r\nWARC/1.1\r\nContent-Length: 5\r\n\r\n" * 2000
+    rows = [
+        (1, "http://a", None), (2, "http://a/b c", ""), (3, None, "short"), (4, "http://d", "short"), (5, "http://e", "y" * 1000),
+        (6, "http://f", "y" * 1000), (7, "http://g", long), (8, "http://h", long), (9, "http://i", long), (10, "http://j", "z" * 999),
+        (11, "http://j", "z" * 999), (12, "http://k", "\r\n0\r\n\r\n" * 5), (-3, "http://l", "ü" * 500), (13, "http://m", "ü" * 500),
+    ]
+    return spark.createDataFrame(rows, PAGES), rows
+
+
+def brute(rows):
+    best = {}
+    for i, _, html in rows:
+        raw = (html or "").encode()
+        if len(raw) >= 1000:
+            best[raw] = max(best.get(raw, i), i)
+    out = set()
+    for i, _, html in rows:
+        raw = (html or "").encode()
+        top = best.get(raw, i)
+        out.add((i, len(raw), hashlib.sha1(raw).hexdigest(), "response" if top == i else "revisit", None if top == i else top))
+    return out
+
+
+@pytest.mark.parametrize("segment", [64, 8192])
+def test_round_trip(spark, segment):
+    df, rows = pages(spark)
+    path = shared_path(spark, "warc")
+    warc.write_archives(df, path, segment_bytes=segment, file_records=50)
+    got = warc.page_records(spark, path).collect()
+    assert {tuple(r) for r in got} == brute(rows) and len(got) == len(rows)
+    texts = {r["origin"].split(":")[2]: bytes(r["payload"]) for r in warc.payloads(warc.read_records(spark, path)).collect()}
+    assert all(texts[str(i)] == (html or "").encode() for i, _, html in rows if str(i) in texts)
+
+
+def test_a_lost_segment_is_an_error(spark):
+    df, _ = pages(spark)
+    path = shared_path(spark, "warc")
+    warc.write_archives(df.where("page_id = 9"), path, segment_bytes=4096)
+    text = spark.read.option("lineSep", "\r\n\r\nWARC/1.1\r\nWARC-Type: continuation").text(path)
+    assert text.count() > 3
+    whole = b"".join(bytes(r[0]) for r in spark.read.format("binaryFile").load(path).select("content").collect())
+    import zlib
+
+    records = list(warc.parse(zlib.decompress(whole, 47)))
+    assert sum(len(b) for f, b in records) == int(records[-1][0]["warc-segment-total-length"])
+    kept = [warc._record(b, **{k.replace("-", "_"): v for k, v in f.items() if k != "content-length"}) for f, b in records if f.get("warc-segment-number") != "2"]
+    broken = shared_path(spark, "warc")
+    spark.createDataFrame([("\r\n\r\n".join(k.decode("latin-1") for k in kept),)], "r string")
+    spark.createDataFrame([(k,) for k in kept], "r binary").selectExpr("CAST(r AS string)").coalesce(1).write.option("lineSep", "\r\n\r\n").text(broken)
+    with pytest.raises(Exception, match="incomplete segments"):
+        warc.read_records(spark, broken).collect()
+
+
+def test_empty_null_ids_and_repeats(spark):
+    path = shared_path(spark, "warc")
+    warc.write_archives(spark.createDataFrame([], PAGES), path)
+    assert warc.page_records(spark, path).count() == 0
+    path = shared_path(spark, "warc")
+    warc.write_archives(spark.createDataFrame([(None, None, "q" * 2000), (1, "u", "q" * 2000), (1, "u", "q" * 2000)], PAGES), path)
+    got = sorted((str(r["page_id"]), r["record_type"], r["refers_to"]) for r in warc.page_records(spark, path).collect())
+    assert got == [("1", "response", None), ("None", "revisit", 1)]
+
+
+def test_chunks():
+    for n in (0, 1, 4095, 4096, 4097, 20_000):
+        assert warc.dechunked(warc.chunked(b"a" * n)) == b"a" * n
+    assert warc.dechunked(b"3;x=1\r\nabc\r\n0\r\nTrailer: 1\r\n\r\n") == b"abc"
+    with pytest.raises(ValueError):
+        warc.dechunked(b"3\r\nabcd\r\n0\r\n\r\n")
