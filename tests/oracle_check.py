@@ -33,6 +33,7 @@ def _plain(value):
 
 
 KINDS = {
+    "boolean": "BOOLEAN",
     "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
     "timestamp_ntz": "TIMESTAMP",
 }
