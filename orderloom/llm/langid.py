@@ -17,6 +17,8 @@ LONGEST = 3
 FIT_ROWS = 5_000
 _SHARES = 1_000_000
 _CHUNK = 1 << 20
+#: Stands for a gap inside an n-gram; no letter has this number.
+_GAP = 1
 
 
 @cache
@@ -49,7 +51,7 @@ def grams(text: str | None, longest: int = LONGEST) -> tuple[np.ndarray, np.ndar
         while at < len(text):
             end = text.find(" ", at + _CHUNK)
             end = len(text) if end < 0 else end
-            parts.append(grams(text[at:end], longest) if end - at <= 2 * _CHUNK else _one(text[at:end], longest))
+            parts.append(_one(text[at:end], longest))
             at = end
         return _counted(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
     return _one(text, longest)
@@ -59,15 +61,16 @@ def _one(text: str, longest: int) -> tuple[np.ndarray, np.ndarray]:
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     letters = np.concatenate(([0], _letters()[points], [0]))
     letters = letters[np.concatenate(([True], (letters[1:] != 0) | (letters[:-1] != 0)))]
-    found = [letters[letters != 0]]
-    code = letters
+    gap = letters == 0
+    found = [letters[~gap]]
+    code = letters = np.where(gap, _GAP, letters)
     for n in range(2, longest + 1):
         inner = np.ones(max(0, len(letters) - n + 1), bool)
         for i in range(1, n - 1):
-            inner &= letters[i : i + len(inner)] != 0
+            inner &= ~gap[i : i + len(inner)]
         code = (code[:-1] << 21) | letters[n - 1 :]
         if n == 2:
-            inner &= code != 0
+            inner &= ~(gap[:-1] & gap[1:])
         found.append(code[inner])
     return _counted(np.concatenate(found))
 

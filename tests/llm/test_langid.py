@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 
 
 def slow_grams(text):
-    folded = "".join((c.lower()[0] if c.isalpha() else "\0") for c in text)
+    folded = "".join((c.lower()[0] if c.isalpha() else "\1") for c in text)
     found = Counter()
-    for word in folded.split("\0"):
-        padded = f"\0{word}\0"
+    for word in folded.split("\1"):
+        padded = f"\1{word}\1"
         found.update(c for c in word)
         for n in (2, 3):
-            found.update(padded[i : i + n] for i in range(len(padded) - n + 1) if word and "\0" not in padded[i + 1 : i + n - 1])
+            found.update(padded[i : i + n] for i in range(len(padded) - n + 1) if word and "\1" not in padded[i + 1 : i + n - 1])
     return found
 
 
@@ -31,11 +31,7 @@ def as_text(gram):
 
 def test_grams_equal_brute_force(monkeypatch):
     for text in ["Über den  Wolken, 12 x-y", "a", "ab", "É", "no", "\U00010400\U0001f600 x", "ß ſ İ"]:
-        # A gap before a gram has number zero, so it does not show in the text of the gram.
-        want = Counter({(g.lstrip("\0"), len(g)): n for g, n in slow_grams(text).items()})
-        got = dict(zip(*langid.grams(text)))
-        assert sum(got.values()) == sum(want.values()), text
-        assert Counter(as_text(g) for g in got) == Counter(t for (t, _), n in want.items()), text
+        assert {as_text(g): n for g, n in zip(*langid.grams(text))} == slow_grams(text), text
     text = "ab cd " * 50
     whole = langid.grams(text)
     monkeypatch.setattr(langid, "_CHUNK", 16)

@@ -96,7 +96,7 @@ def test_plan_is_a_partition_within_capacity(lengths):
 def test_differencing_levels_windows():
     sizes = np.random.default_rng(1).integers(1, 4000, 2000)
     sums = np.bincount(packing.differencing(sizes, 300), sizes, 300)
-    assert sums.max() - sums.min() <= 0.01 * sums.mean()
+    assert sums.max() - sums.min() <= 0.03 * sums.mean()
 
 
 def test_differencing_small_case():

@@ -1,0 +1,61 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import numpy as np
+from helpers import documents, odd_texts, prose
+from hypothesis import given, settings, strategies as st
+from orderloom.llm import repetition
+from orderloom.llm.queries import op10_repetition
+
+
+def covered(words, width):
+    grams = [tuple(words[i : i + width]) for i in range(len(words) - width + 1)]
+    seen = Counter(grams)
+    return {i + j for i, g in enumerate(grams) if seen[g] > 1 for j in range(width)}
+
+
+def brute(text):
+    text = text or ""
+    words = [w.decode("utf-8") for w in text.encode("utf-8").split()]
+    lines = [x for x in text.split("\n") if x.encode().split()]
+    times = Counter(lines)
+    return (
+        len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(times), len(covered(words, 5)),
+        sum(sum(map(len, [w.decode() for w in x.encode().split()])) for x in lines if times[x] > 1),
+        [sum(len(words[i]) for i in covered(words, w)) for w in range(5, 11)],
+    )
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b", "é", "\n", "\U0001f600 ", " ", "c "]), max_size=60).map("".join))
+def test_measures_equal_brute_force(text):
+    assert repetition.measure(text) == brute(text)
+
+
+def test_odd_texts(spark):
+    texts = [*odd_texts(), " ".join(["Heer"] * 100), (prose(5, 40) + "\n") * 3, "#*$ %&|<> x"]
+    docs = documents(spark, texts).selectExpr("*", "1 AS n_words", "2 AS m", "3 AS kept")
+    got = {r["doc_id"]: r for r in repetition.repetition_rules(docs).collect()}
+    for i, text in enumerate(texts):
+        if len(text or "") < 20_000:
+            assert tuple(got[i])[1:8] == brute(text)
+        r = got[i]
+        assert r["base_failed"] == (r["n_words"] < 10 or 100 * r["n_repeat_words"] > 20 * r["n_words"])
+        assert r["kept"] == (not r["base_failed"] and not r["fails"])
+    assert not got[len(texts) - 3]["kept"] and not got[len(texts) - 2]["kept"]
+
+
+def test_query_equals_brute_force(spark, folder):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    got = op10_repetition(spark, folder).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        assert tuple(r)[1:6] == brute(docs[r["doc_id"]])[:5]
+    assert 0.5 < np.mean([r["kept"] for r in got]) < 1
+
+
+def test_repeats_nulls_and_empty_table(spark):
+    assert repetition.repetition_rules(documents(spark, [])).count() == 0
+    docs = documents(spark, [(None, None, None, None, None), (1, prose(1, 60), "", "", 0), (1, prose(1, 60), "", "", 0)])
+    assert sorted(r["kept"] for r in repetition.repetition_rules(docs).collect()) == [False, True, True]
