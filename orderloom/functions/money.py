@@ -1,43 +1,45 @@
-"""Order-independent sums and means of quantities with few decimals.
+"""Order-independent sums and means of money and measures.
 
 A sum of doubles depends on the order in which partitions are merged, and a mean
 that falls on half a cent may then round either way. Here values are added as
-whole ten-thousandths in a BIGINT, which stays in generated code and gives the
-same digits under any partitioning; the result is rounded half up once.
-Under ANSI mode an overflow raises instead of wrapping.
+decimals with ten places, so a sum has the same digits under any partitioning, and
+the result is rounded half up once. A sum holds 28 digits before the point.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-UNITS = 10_000
-_PER_CENT = UNITS // 100
+#: Of one value: up to 18 digits before the point.
+TERM = "DECIMAL(28, 10)"
 
 
 def units(name: str) -> Column:
-    """A column in whole ten-thousandths; null stays null, and NaN becomes null."""
-    number = f"nanvl(CAST(`{name}` AS DOUBLE), CAST(NULL AS DOUBLE))"
-    return F.expr(f"CAST(round({number} * {UNITS}) AS BIGINT)")
+    """A column as an exact term; null stays null; NaN and infinite values become null."""
+    return F.col(_quoted(name)).cast("double").try_cast(TERM)
 
 
-def _half_up(numerator: str, denominator: str) -> str:
-    """Whole-number division rounding half away from zero (denominator > 0)."""
-    size = f"((2 * abs({numerator}) + {denominator}) div (2 * {denominator}))"
-    return f"(CASE WHEN {numerator} < 0 THEN -{size} ELSE {size} END)"
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def to_cents(total: str) -> Column:
-    """A sum of units, rounded to cents, as a double."""
-    return F.expr(f"{_half_up(f'`{total}`', str(_PER_CENT))} / 100D")
+    """A sum of terms, rounded to cents, as a double."""
+    return F.round(F.col(_quoted(total)), 2).cast("double")
 
 
 def mean_to_cents(total: str, count: str) -> Column:
-    """A sum of units over a count, rounded to cents; null where nothing was counted."""
-    n = f"(nullif(`{count}`, 0) * {_PER_CENT})"
-    return F.expr(f"{_half_up(f'`{total}`', n)} / 100D")
+    """A sum of terms over a count, rounded to cents; null where nothing was counted.
+
+    Whole numbers are divided, so that no rounding comes before the last.
+    """
+    whole = F.col(_quoted(total)).cast("decimal(38,10)") * F.lit("10000000000").cast("decimal(11,0)")
+    size = F.abs(whole).cast("decimal(38,0)")
+    unit = (F.lit(100_000_000) * F.when(F.col(_quoted(count)) > 0, F.col(_quoted(count)))).cast("decimal(28,0)")
+    cents = F.floor((size - size % unit) / unit) + F.when(2 * (size % unit) >= unit, 1).otherwise(0)
+    return (F.signum(F.col(_quoted(total))) * cents).cast("double") / 100.0
 
 
 def unrounded(total: str) -> Column:
-    """A sum of units as a double."""
-    return F.expr(f"`{total}` / {UNITS}D")
+    """A sum of terms as a double."""
+    return F.col(_quoted(total)).cast("double")

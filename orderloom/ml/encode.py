@@ -8,6 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, RFormula, RFormulaModel, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
+from orderloom.operators.clean import quoted
 from orderloom.operators.items import AMOUNT_PREFIX, AVERAGED_MEASURES
 from orderloom.operators.orders import TIMES
 
@@ -77,6 +78,7 @@ def encode(basetable: DataFrame, fitted: PipelineModel) -> DataFrame:
     return fitted.transform(basetable).drop(*raw, *indexer.getOutputCols(), *TIMES.values())
 
 
+# The columns of the full model table, in order.
 def model_columns(
     categories: Sequence[str] = RETAIL_CATEGORIES, labelled: bool = True
 ) -> list[str]:
@@ -100,6 +102,7 @@ def model_columns(
     ]
 
 
+# The ten strongest features, in order.
 def strong_columns(
     categories: Sequence[str] = STRONG_CATEGORIES, labelled: bool = True
 ) -> list[str]:
@@ -134,7 +137,7 @@ def raw_columns(basetable: DataFrame, names: Iterable[str]) -> list[str]:
 
 
 def select_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    return df.select(*[F.col(name) for name in names])
+    return df.select(*[F.col(quoted(name)) for name in names])
 
 
 def fit_formula(train: DataFrame, formula: str = "label ~ . - order_id") -> RFormulaModel:

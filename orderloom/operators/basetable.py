@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -13,31 +13,29 @@ from orderloom.operators import clean
 from orderloom.operators.items import ItemStats, fit_item_stats, items_per_order, prepare_items
 from orderloom.operators.orders import HOLDOUT_WINDOW, TRAINING_WINDOW, prepare_orders
 from orderloom.operators.payments import payments_per_order
-from orderloom.operators.reviews import prepare_reviews
-from orderloom.operators.skew import HOT_ROWS, hot_keys, join_on_unique
+from orderloom.operators.reviews import TIES, newest_times, prepare_reviews_with_ties, timed_reviews
 from orderloom.sources.tables import OrderTables
 
 
+#: Reviews of one order that may meet in one task; more are dealt out by a salt.
+ROWS_PER_TASK = 1_000_000
+
+
 @dataclass(frozen=True)
 class OrderParts:
     """Prepared tables on their way into a base table.
 
     Payments and items have one row per order_id by construction, orders by the
-    meaning of the table. Reviews can repeat an order_id where answer times tie.
-    ``hot`` lists the order_ids that repeat too often to meet in one task.
+    meaning of the table. Reviews repeat an order_id where answer times tie, and carry
+    the number of ties; ``tied`` lists the orders with more than ``rows_per_task`` of them.
     """
 
     orders: DataFrame
     payments: DataFrame
     items: DataFrame
     reviews: DataFrame | None = None
-    hot: Sequence = ()
-
-    def driving(self) -> tuple[DataFrame, list[DataFrame]]:
-        """The table whose rows make the base table, and the tables joined to it."""
-        if self.reviews is None:
-            return self.orders, [self.payments, self.items]
-        return self.reviews, [self.orders, self.payments, self.items]
+    tied: DataFrame | None = None
+    rows_per_task: int = ROWS_PER_TASK
 
 
 def prepare_parts(
@@ -46,34 +44,47 @@ def prepare_parts(
     window: tuple[str, str],
     convention: str = "shifted",
     unique_reviews: bool = False,
-    hot_rows: int = HOT_ROWS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> OrderParts:
     items = prepare_items(tables.order_items, tables.products, stats)
-    reviews = None
+    reviews = tied = None
     if tables.order_reviews is not None:
-        reviews = prepare_reviews(tables.order_reviews, unique_reviews, convention)
-    # counted on the raw table: one narrow column, and never fewer rows per key
-    if unique_reviews:
-        hot = []
-    else:
-        raw = tables.orders if tables.order_reviews is None else tables.order_reviews
-        hot = hot_keys(clean.drop_na_keys(raw), "order_id", hot_rows)
+        tied = newest_times(timed_reviews(tables.order_reviews)).where(F.col(TIES) > rows_per_task).select("order_id", TIES)
+        reviews = prepare_reviews_with_ties(tables.order_reviews, unique_reviews, convention)
     return OrderParts(
         orders=prepare_orders(tables.orders, window, convention),
         payments=payments_per_order(tables.order_payments),
         items=items_per_order(items, stats.categories),
         reviews=reviews,
-        hot=hot,
+        tied=tied,
+        rows_per_task=rows_per_task,
     )
 
 
+def _to_reviews(reviews: DataFrame, sides: DataFrame, tied: DataFrame, how: str, rows_per_task: int) -> DataFrame:
+    """Reviews joined to one row per order, those of an order with many ties by salt.
+
+    Every review knows how many tie with it, so it knows how many ways its order is
+    dealt out, and a row of the sides is repeated as often for those orders alone:
+    one plan, whatever the data, with nothing collected and nothing broadcast.
+    """
+    ways = lambda ties: F.ceil(F.coalesce(ties, F.lit(1)) / rows_per_task)
+    salted = reviews.withColumn("salt", F.pmod(F.xxhash64("review_id"), ways(F.col(TIES)))).drop(TIES)
+    repeated = sides.join(tied, "order_id", "left").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0).cast("bigint"), ways(F.col(TIES)) - 1))
+    ).drop(TIES)
+    return salted.join(repeated, ["order_id", "salt"], how).drop("salt")
+
+
 def join_parts(parts: OrderParts) -> DataFrame:
     """Reviews (or, without reviews, orders) with everything known about their order.
 
-    Left joins only: a review without order, payment or items keeps its row.
+    A review without order, payment or items keeps its row.
     """
-    rows, sides = parts.driving()
-    return join_on_unique(rows, sides, "order_id", "left", parts.hot)
+    if parts.reviews is None:
+        return parts.orders.join(parts.payments, "order_id", "left").join(parts.items, "order_id", "left")
+    sides = parts.orders.join(parts.payments, "order_id", "full").join(parts.items, "order_id", "full")
+    return _to_reviews(parts.reviews, sides, parts.tied, "left", parts.rows_per_task)
 
 
 def complete_rows(parts: OrderParts) -> DataFrame:
@@ -82,9 +93,11 @@ def complete_rows(parts: OrderParts) -> DataFrame:
     A row that found no order, payment or items would be dropped, so these are
     inner joins, and the parts lose their incomplete rows before they are shuffled.
     """
-    rows, sides = parts.driving()
-    complete = [clean.all_present(side) for side in sides]
-    return join_on_unique(clean.all_present(rows), complete, "order_id", "inner", parts.hot)
+    orders, payments, items = map(clean.all_present, (parts.orders, parts.payments, parts.items))
+    sides = orders.join(payments, "order_id").join(items, "order_id")
+    if parts.reviews is None:
+        return sides
+    return _to_reviews(clean.all_present(parts.reviews), sides, parts.tied, "inner", parts.rows_per_task)
 
 
 def build_basetable(parts: OrderParts, drop_subset: Iterable[str] | None = None) -> DataFrame:
@@ -127,7 +140,7 @@ def holdout_basetable(
 
 def incomplete_rows_count(joined: DataFrame) -> DataFrame:
     """One row: rows of a joined table, and how many of them ``complete_rows`` drops."""
-    has_null = reduce(or_, [F.col(name).isNull() for name in joined.columns])
+    has_null = reduce(or_, [F.col(clean.quoted(name)).isNull() for name in joined.columns])
     return joined.agg(
         F.count("*").alias("row_count"), F.count_if(has_null).alias("incomplete_rows")
     )

@@ -73,13 +73,18 @@ def fill_missing_days(df: DataFrame, columns: Iterable[str] = DAY_COUNTS) -> Dat
     return df.na.fill(MISSING_DAYS, subset=list(columns))
 
 
+def quoted(name: str) -> str:
+    """A column name as it must be written in an expression."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def all_present(df: DataFrame) -> DataFrame:
     """Rows without nulls, as one predicate per column.
 
     The optimizer drops the predicate of a column that cannot be null, so unlike
     ``dropna`` this keeps unused columns prunable, and pushes the others to the scan.
     """
-    return df.where(" AND ".join(f"`{name}` IS NOT NULL" for name in df.columns))
+    return df.where(" AND ".join(f"{quoted(name)} IS NOT NULL" for name in df.columns))
 
 
 def drop_incomplete(df: DataFrame, subset: Iterable[str] | None = None) -> DataFrame:

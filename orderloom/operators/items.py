@@ -12,22 +12,25 @@ from orderloom.sources.schemas import CATEGORY, PRODUCT_MEASURES
 
 AMOUNT_PREFIX = "total_amount_"
 AVERAGED_MEASURES = PRODUCT_MEASURES[:4]
-#: Categories become columns, so there must not be more of them than columns allow.
-MAX_CATEGORIES = 10_000
-
 
 @dataclass(frozen=True)
 class ItemStats:
-    """What imputation and the category columns need to know, fitted on training data."""
+    """What imputation and the category columns need to know, fitted on training data.
+
+    ``categories`` is filled only for the wide form, in which each becomes a column;
+    ``whole`` names the measures that hold whole numbers only.
+    """
 
     means: dict[str, float]
     mode: str | None
-    categories: tuple[str, ...]
+    categories: tuple[str, ...] = ()
+    whole: tuple[str, ...] = ()
 
     def fill(self, df: DataFrame) -> DataFrame:
-        """Fill measures with their means (cut to whole numbers in whole-number columns)
-        and a missing category with the most frequent one."""
-        filled = df.na.fill(self.means) if self.means else df
+        """Fill measures with their means (cut to whole numbers where all values are whole,
+        whatever the column's type) and a missing category with the most frequent one."""
+        means = {name: float(int(mean)) if name in self.whole else mean for name, mean in self.means.items()}
+        filled = df.na.fill(means) if means else df
         return filled if self.mode is None else filled.na.fill(self.mode, subset=[CATEGORY])
 
 
@@ -41,13 +44,16 @@ def fit_item_stats(
     products: DataFrame,
     distinct_means: bool = True,
     dedupe_items: bool = True,
+    wide: bool = True,
 ) -> ItemStats:
     """Means and most frequent category over items joined to products.
 
     Items are first counted per product, so the statistics work on a table of
     product size: a value's weight is its products' item count. Means are taken over
     the distinct values of a column unless ``distinct_means`` is off. Equal counts
-    resolve to the alphabetically first category.
+    resolve to the alphabetically first category. Seven numbers and a name come to the
+    driver, and for ``wide`` the list of categories, since they become column names;
+    the long form needs none.
     """
     rows = items.dropDuplicates() if dedupe_items else items
     sold = rows.groupBy("product_id").agg(F.count("*").alias("n"))
@@ -78,24 +84,19 @@ def fit_item_stats(
         number, n = F.col("number"), F.col("n")
         mean = F.avg(number) if distinct_means else F.sum(number * n) / F.sum(n)
         fitted = (
-            values.where(number.isNotNull()).groupBy("measure").agg(mean.alias("mean")).collect()
-        )
-        ranked = (
-            values.where(F.col("category").isNotNull())
-            .orderBy(F.desc("n"), "category")
-            .select("category")
-            .limit(MAX_CATEGORIES + 1)
-            .collect()
+            values.where(number.isNotNull()).groupBy("measure")
+            .agg(mean.alias("mean"), F.bool_and(number == F.floor(number)).alias("whole")).collect()
         )
+        named = values.where(F.col("category").isNotNull())
+        top = named.orderBy(F.desc("n"), "category").select("category").first()
+        names = [row["category"] for row in named.select("category").distinct().collect()] if wide else []
     finally:
         values.unpersist()
-    if len(ranked) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories cannot become columns")
-    names = [row["category"] for row in ranked]
     return ItemStats(
         means={row["measure"]: row["mean"] for row in fitted},
-        mode=names[0] if names else None,
+        mode=top["category"] if top else None,
         categories=tuple(sorted(names)),
+        whole=tuple(sorted(row["measure"] for row in fitted if row["whole"])),
     )
 
 
@@ -110,40 +111,32 @@ def prepare_items(items: DataFrame, products: DataFrame, stats: ItemStats) -> Da
 
 
 _SUMMED = ("price", "shipping_cost", *AVERAGED_MEASURES)
-#: With more categories than this, rows are summed per order and category first.
-WIDE = 16
-
 
-def _order_sums(items_products: DataFrame, categories: Sequence[str] = ()) -> DataFrame:
-    """Counts and sums per order, in one aggregation on order_id.
 
-    A category becomes a small number first, so that its columns compare numbers.
-    Items without price or shipping cost add nothing to their category.
-
-    One column per category makes wide rows, and combining before the shuffle would
-    send them across the network nearly empty. Many categories are therefore summed in
-    long form first; what then moves to its order is narrow, at most one row per
-    category, and turns wide only where it stays.
-    """
-    slot = F.array_position(F.array(*[F.lit(name) for name in categories]), F.col(CATEGORY))
-    rows = items_products.select(
+def _terms(items_products: DataFrame) -> DataFrame:
+    """Key, category and exact terms of every item. Without price or shipping cost there is no amount."""
+    return items_products.select(
         "order_id",
-        (slot if categories else F.lit(0)).alias("slot"),
+        F.col(CATEGORY).alias("category"),
         F.expr("int(order_item_id IS NOT NULL)").alias("total_items"),
         *[money.units(name).alias(f"sum_{name}") for name in _SUMMED],
         *[F.expr(f"int({name} IS NOT NULL)").alias(f"n_{name}") for name in _SUMMED],
     ).withColumn("amount", F.expr("sum_price + sum_shipping_cost"))
-    sums = [
-        F.sum(name).alias(name) for name in rows.columns if name not in ("order_id", "slot", "amount")
-    ]
-    if len(categories) > WIDE:
-        per_category = rows.groupBy("order_id", "slot").agg(*sums, F.sum("amount").alias("amount"))
-        rows = per_category.repartition("order_id")
-    amounts = [
-        F.expr(f"sum(CASE WHEN slot = {number} THEN amount END)").alias(f"slot_{number}")
-        for number in range(1, len(categories) + 1)
-    ]
-    return rows.groupBy("order_id").agg(*sums, *amounts)
+
+
+def _order_sums(items_products: DataFrame, wide: bool = False) -> DataFrame:
+    """Counts and sums per order; with ``wide`` also a map from category to amount.
+
+    For the map, items are summed per order and category first. What then moves to its
+    order is narrow, at most one row per category.
+    """
+    rows = _terms(items_products)
+    sums = [F.sum(name).alias(name) for name in rows.columns if name not in ("order_id", "category", "amount")]
+    if not wide:
+        return rows.groupBy("order_id").agg(*sums)
+    per_category = rows.groupBy("order_id", "category").agg(*sums, F.sum("amount").alias("amount"))
+    entries = F.collect_list(F.when(F.col("category").isNotNull(), F.struct("category", "amount")))
+    return per_category.groupBy("order_id").agg(*sums, F.map_from_entries(entries).alias("amounts"))
 
 
 def _costs() -> list[Column]:
@@ -160,22 +153,42 @@ def _costs() -> list[Column]:
 
 
 def _amounts(categories: Sequence[str]) -> list[Column]:
+    names = unique_names([AMOUNT_PREFIX + name for name in categories])
     return [
-        F.coalesce(money.unrounded(f"slot_{number}"), F.lit(0.0)).alias(AMOUNT_PREFIX + name)
-        for number, name in enumerate(categories, 1)
+        F.coalesce(F.col("amounts")[F.lit(category)].cast("double"), F.lit(0.0)).alias(name)
+        for category, name in zip(categories, names)
     ]
 
 
+def unique_names(names: Sequence[str]) -> list[str]:
+    """Column names that differ even without case: a repeated one gets a number."""
+    seen: dict[str, int] = {}
+    out = []
+    for name in names:
+        while (times := seen.get(name.lower(), 0)):
+            seen[name.lower()] = times + 1
+            name = f"{name}_{times + 1}"
+        seen[name.lower()] = 1
+        out.append(name)
+    return out
+
+
 def items_per_order(items_products: DataFrame, categories: Sequence[str]) -> DataFrame:
     """Item count, totals, means and the amount per category, one row per order."""
-    sums = _order_sums(items_products, categories)
+    sums = _order_sums(items_products, wide=True)
     rows = sums.select("order_id", "total_items", *_costs(), *_amounts(categories))
     return _with_total(rows)
 
 
 def category_amounts(items_products: DataFrame, categories: Sequence[str]) -> DataFrame:
-    """Only the amount per category, one row per order."""
-    return _order_sums(items_products, categories).select("order_id", *_amounts(categories))
+    """Only the amount per category, one row per order and a column per category."""
+    return _order_sums(items_products, wide=True).select("order_id", *_amounts(categories))
+
+
+def category_amounts_long(items_products: DataFrame) -> DataFrame:
+    """(order_id, category, amount), for any number of categories; no amount counts as 0."""
+    summed = _terms(items_products).groupBy("order_id", "category").agg(F.sum("amount").alias("amount"))
+    return summed.select("order_id", "category", F.coalesce(money.unrounded("amount"), F.lit(0.0)).alias("amount"))
 
 
 def order_costs(items_products: DataFrame) -> DataFrame:

@@ -12,6 +12,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from orderloom.operators.clean import quoted
+
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table_name, row_count) for several tables in one result."""
@@ -23,12 +25,12 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def _to_long(one_row: DataFrame, name_column: str, value_column: str) -> DataFrame:
-    return one_row.unpivot([], list(one_row.columns), name_column, value_column)
+    return one_row.unpivot([], [F.col(quoted(name)) for name in one_row.columns], name_column, value_column)
 
 
 def null_counts(df: DataFrame) -> DataFrame:
     """(column_name, null_count) for all columns."""
-    row = df.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in df.columns])
+    row = df.agg(*[F.count_if(F.col(quoted(name)).isNull()).alias(name) for name in df.columns])
     return _to_long(row, "column_name", "null_count")
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from orderloom.functions import calendar
 from orderloom.operators import clean
 from orderloom.operators.profile import group_counts
-from orderloom.operators.skew import HOT_ROWS, hot_keys, join_on_unique
 
 TIMES = {"review_answer_timestamp": "review_answer_time"}
 # Fixed value: scores from here on count as positive.
@@ -32,32 +31,67 @@ def review_count_histogram(reviews: DataFrame) -> DataFrame:
     return group_counts(reviews_per_order(reviews), "review_count", "order_id", "order_count")
 
 
-def attach_review_count(reviews: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Each review with the number of reviews of its order."""
-    hot = hot_keys(reviews, "order_id", hot_rows)
-    return join_on_unique(reviews, [reviews_per_order(reviews)], "order_id", "left", hot)
+def attach_review_count(reviews: DataFrame) -> DataFrame:
+    """Each review with the number of reviews of its order; none for reviews without a key.
 
+    Reviews are counted per order and time, then per order, and the count comes back on
+    order and time together, so that the rows of a busy order are spread by time.
+    """
+    known, at = reviews.where(F.col("order_id").isNotNull()), "review_answer_time"
+    per_time = known.groupBy("order_id", at).agg(F.count("review_id").alias("n"))
+    per_order = per_time.groupBy("order_id").agg(F.sum("n").alias("review_count"))
+    places = per_time.join(per_order, "order_id").select(
+        F.col("order_id").alias("counted_order"), F.col(at).alias("counted_time"), "review_count"
+    )
+    counted = known.join(
+        places, (F.col("order_id") == F.col("counted_order")) & F.col(at).eqNullSafe(F.col("counted_time"))
+    ).select(*reviews.columns, "review_count")
+    without_key = reviews.where(F.col("order_id").isNull()).withColumn("review_count", F.lit(None).cast("bigint"))
+    return counted.unionByName(without_key)
+
+
+TIES = "review_ties"
 
-def latest_reviews(reviews: DataFrame) -> DataFrame:
-    """The reviews with the latest answer time of their order; ties all stay.
 
-    The latest time per order comes from a combining aggregation, and its rows
-    are found again by a semi join on order and time together. The rows of an
-    order with very many reviews are thus spread by time, where a window would sort
-    them all in one task. An order with one review keeps it even without a time.
+def newest_times(reviews: DataFrame) -> DataFrame:
+    """(order_id, newest, review_ties) per order: the latest answer time and its row count.
+
+    Reviews are combined per order and time before any shuffle. An order with one
+    review is listed even without a time.
     """
-    newest = (
-        reviews.groupBy("order_id")
-        .agg(F.max("review_answer_time").alias("newest"), F.count("review_id").alias("n"))
+    at = "review_answer_time"
+    per_time = reviews.where(F.col("order_id").isNotNull()).groupBy("order_id", at).agg(
+        F.count("*").alias("n_rows"), F.count("review_id").alias("n_reviews")
+    )
+    return (
+        per_time.groupBy("order_id")
+        .agg(
+            F.max(at).alias("newest"), F.sum("n_reviews").alias("n"),
+            F.max_by("n_rows", at).alias("n_newest"), F.sum("n_rows").alias("n_all"),
+        )
         .where((F.col("n") == 1) | F.col("newest").isNotNull())
-        .select(F.col("order_id").alias("newest_order"), "newest")
+        .select("order_id", "newest", F.coalesce("n_newest", "n_all").alias(TIES))
     )
+
+
+def latest_with_ties(reviews: DataFrame) -> DataFrame:
+    """The reviews with the latest answer time of their order, and how many tie there.
+
+    They are found again by a join on order and time together. The rows of an order
+    with very many reviews are thus spread by time, where a window would sort them all
+    in one task.
+    """
+    newest = newest_times(reviews).withColumnRenamed("order_id", "newest_order")
     return reviews.join(
         newest,
         (F.col("order_id") == F.col("newest_order"))
         & F.col("review_answer_time").eqNullSafe(F.col("newest")),
-        "left_semi",
-    )
+    ).select(*reviews.columns, TIES)
+
+
+def latest_reviews(reviews: DataFrame) -> DataFrame:
+    """The reviews with the latest answer time of their order; ties all stay."""
+    return latest_with_ties(reviews).drop(TIES)
 
 
 def latest_review_unique(reviews: DataFrame) -> DataFrame:
@@ -68,12 +102,12 @@ def latest_review_unique(reviews: DataFrame) -> DataFrame:
     return best.select("order_id", "best.*").select(*reviews.columns)
 
 
-def single_and_latest(reviews: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def single_and_latest(reviews: DataFrame) -> DataFrame:
     """Orders with one review as they are, united with the latest of the others.
 
     Gives the rows of ``latest_reviews``, with the review count kept as a column.
     """
-    counted = attach_review_count(reviews, hot_rows)
+    counted = attach_review_count(reviews)
     single = counted.where(F.col("review_count") == 1)
     several = counted.where(F.col("review_count") != 1)
     return single.unionByName(latest_reviews(several))
@@ -96,10 +130,20 @@ def add_review_features(reviews: DataFrame, convention: str = "shifted") -> Data
     })
 
 
+def timed_reviews(raw: DataFrame) -> DataFrame:
+    """Raw reviews with their answer time as a timestamp, filled where it is missing."""
+    return fill_answer_time(clean.cast_times(raw, TIMES))
+
+
 def prepare_reviews(
     raw: DataFrame, unique: bool = False, convention: str = "shifted"
 ) -> DataFrame:
     """Raw reviews to one row per order (or per tie), with label and features."""
-    timed = fill_answer_time(clean.cast_times(raw, TIMES))
-    kept = latest_review_unique(timed) if unique else latest_reviews(timed)
+    return prepare_reviews_with_ties(raw, unique, convention).drop(TIES)
+
+
+def prepare_reviews_with_ties(raw: DataFrame, unique: bool = False, convention: str = "shifted") -> DataFrame:
+    """``prepare_reviews`` with the number of reviews that tie for the latest of their order."""
+    timed = timed_reviews(raw)
+    kept = latest_review_unique(timed).withColumn(TIES, F.lit(1).cast("bigint")) if unique else latest_with_ties(timed)
     return add_review_features(kept, convention)

@@ -448,8 +448,15 @@ def statements() -> dict[str, str]:
             f"SELECT {text('order_id')} AS order_id, order_item_id, {text('product_id')} AS product_id, "
             "price, shipping_cost FROM order_items"),
         "scan_csv_inferred": w("SELECT * FROM order_payments"),
+        "scan_csv_permuted": w(
+            f"SELECT {text('order_id')} AS order_id, payment_sequential, payment_type, payment_installments, "
+            "payment_value FROM order_payments"),
+        "scan_csv_rejects": w(
+            "SELECT c AS column_name, CASE WHEN c = 'payment_value' THEN (SELECT count(*) FROM order_payments "
+            "WHERE payment_sequential = 3) ELSE 0 END AS rejected "
+            "FROM (SELECT unnest(['payment_sequential', 'payment_installments', 'payment_value']) AS c)"),
         "scan_csv_escaped":
-            f"SELECT {text('p_partkey')} AS product_id, CAST(10 + p_partkey % 30 AS INTEGER) AS product_length_cm, "
+            f"SELECT {text('p_partkey')} AS product_id, CAST(10 + p_partkey % 30 AS DOUBLE) AS product_length_cm, "
             "'\"' || p_name || '\", ' || p_type AS product_category_name FROM part",
         "table_counts": w(" UNION ALL ".join(
             f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {s}" for t, s in (
@@ -534,6 +541,9 @@ def statements() -> dict[str, str]:
         "order_item_count": w(item_counts("ip")),
         "order_cost_rollup": w(costs("ip")),
         "category_pivot": w(pivot("ip")),
+        "category_amounts_long": w(
+            f"SELECT order_id, product_category_name AS category, coalesce({total('price + shipping_cost')}, 0) AS amount "
+            "FROM ip GROUP BY order_id, product_category_name"),
         "order_items_rollup": w("SELECT * FROM items_final"),
         "payment_minmax": w(
             "SELECT order_id, min_payment_sequential, max_payment_sequential, min_payment_installments, "

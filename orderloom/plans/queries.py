@@ -57,16 +57,33 @@ def scan_csv_inferred(spark: SparkSession, sf: str) -> DataFrame:
 def scan_csv_escaped(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_path(spark, "products.csv")
     quoted = F.concat(F.lit('"'), F.col("p_name"), F.lit('", '), F.col("p_type"))
-    written = standin.load(spark, sf, "part").withColumn("quoted_name", quoted)
-    source = standin.products(spark, sf).drop(schemas.CATEGORY).join(
-        written.select(F.col("p_partkey").alias("product_id"), F.col("quoted_name").alias(schemas.CATEGORY)),
-        "product_id",
-    )
+    source = standin.products_of(standin.load(spark, sf, "part"), category=quoted)
     tables.write_csv(source, path, doubled_quotes=True)
     read = tables.read_csv_table(spark, path, "products")
     return read.select("product_id", "product_length_cm", schemas.CATEGORY)
 
 
+@query
+def scan_csv_permuted(spark: SparkSession, sf: str) -> DataFrame:
+    """A file with its columns in another order, and one column too many."""
+    path = shared_path(spark, "order_payments.csv")
+    given = standin.order_payments(spark, sf).withColumn("note", F.lit("x"))
+    tables.write_csv(given.select(*reversed(given.columns)), path)
+    return tables.read_csv_table(spark, path, "order_payments")
+
+
+@query
+def scan_csv_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields that are no numbers, counted by column."""
+    path = shared_path(spark, "order_payments.csv")
+    given = standin.order_payments(spark, sf).withColumn(
+        "payment_value",
+        F.when(F.col("payment_sequential") == 2, "NA").when(F.col("payment_sequential") == 3, "12,5").otherwise(F.col("payment_value").cast("string")),
+    )
+    tables.write_csv(given, path)
+    return tables.csv_rejects(spark, path, schemas.ORDER_PAYMENTS)
+
+
 # --- profiles ----------------------------------------------------------------
 
 
@@ -320,29 +337,32 @@ def _catalogue(spark: SparkSession, sf: str, stats: items.ItemStats) -> DataFram
 
 @query
 def impute_mean_distinct(spark: SparkSession, sf: str) -> DataFrame:
-    filled = _catalogue(spark, sf, _stats(spark, sf))
+    filled = _catalogue(spark, sf, _stats(spark, sf, wide=False))
     return filled.select("product_id", *schemas.PRODUCT_MEASURES)
 
 
 @query
 def impute_mean_rows(spark: SparkSession, sf: str) -> DataFrame:
-    filled = _catalogue(spark, sf, _stats(spark, sf, distinct_means=False))
+    filled = _catalogue(spark, sf, _stats(spark, sf, distinct_means=False, wide=False))
     return filled.select("product_id", *schemas.PRODUCT_MEASURES)
 
 
 @query
 def impute_mode(spark: SparkSession, sf: str) -> DataFrame:
-    return _catalogue(spark, sf, _stats(spark, sf)).select("product_id", schemas.CATEGORY)
+    return _catalogue(spark, sf, _stats(spark, sf, wide=False)).select("product_id", schemas.CATEGORY)
 
 
 @query
 def order_item_count(spark: SparkSession, sf: str) -> DataFrame:
-    return items.items_counted(_items(spark, sf)[0])
+    source = standin.order_items(spark, sf), standin.products(spark, sf)
+    return items.items_counted(items.prepare_items(*source, items.ItemStats({}, None)))
 
 
 @query
 def order_cost_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    return items.order_costs(_items(spark, sf)[0])
+    stats = _stats(spark, sf, wide=False)
+    source = standin.order_items(spark, sf), standin.products(spark, sf)
+    return items.order_costs(items.prepare_items(*source, stats))
 
 
 @query
@@ -351,6 +371,13 @@ def category_pivot(spark: SparkSession, sf: str) -> DataFrame:
     return items.category_amounts(prepared, stats.categories)
 
 
+@query
+def category_amounts_long(spark: SparkSession, sf: str) -> DataFrame:
+    stats = _stats(spark, sf, wide=False)
+    source = standin.order_items(spark, sf), standin.products(spark, sf)
+    return items.category_amounts_long(items.prepare_items(*source, stats))
+
+
 @query
 def order_items_rollup(spark: SparkSession, sf: str) -> DataFrame:
     prepared, stats = _items(spark, sf)

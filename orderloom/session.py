@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,14 +36,14 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the session names it.
 
     ``spark.checkpoint.dir`` wins. Only a local-mode session, where driver and
-    executors are one process, may fall back to a temporary folder.
+    executors are one process, may fall back to a folder of the session's warehouse.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="orderloom-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/orderloom-stages"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
@@ -56,10 +55,11 @@ def shared_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint, for frames that iterative fits read many times.
+    """``df`` as a Parquet table in the shared folder, for fits that read it many times.
 
-    The blocks live in the shared folder, so losing an executor costs a re-read
-    and not a rebuild of the joins above.
+    Losing an executor costs a re-read and not a rebuild of the joins above, and a
+    reader that needs few columns reads few.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = shared_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,7 +1,8 @@
 """Explicit schemas of the five input tables.
 
 Reading with a schema skips the extra pass that inference costs and keeps types
-from depending on the data. Times are text here because exports mix in the token
+from depending on the data. CSV columns are found by name; product measures are
+read as doubles there, since an export may hold fractions. Times are text here because exports mix in the token
 ``NA``; the order and review operators turn them into timestamps.
 """
 

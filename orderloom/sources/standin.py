@@ -55,9 +55,15 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def products(spark: SparkSession, folder: str) -> DataFrame:
+    return products_of(load(spark, folder, "part"))
+
+
+def products_of(part: DataFrame, category: Column | None = None) -> DataFrame:
+    """Products from parts; ``category`` replaces their category, which parts of some sizes lack."""
     key, size = F.col("p_partkey"), F.col("p_size")
     described = size % 10 != 0
-    return load(spark, folder, "part").select(
+    named = F.when(described, F.col("p_type")) if category is None else category
+    return part.select(
         key.alias("product_id"),
         F.when(described, F.length("p_name")).alias("product_name_lenght"),
         F.when(described, size * 20).alias("product_description_lenght"),
@@ -66,7 +72,7 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
         (10 + key % 30).cast("int").alias("product_length_cm"),
         (5 + key % 11).cast("int").alias("product_height_cm"),
         (8 + key % 17).cast("int").alias("product_width_cm"),
-        F.when(described, F.col("p_type")).alias("product_category_name"),
+        named.alias("product_category_name"),
     )
 
 

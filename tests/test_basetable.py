@@ -1,11 +1,10 @@
 from __future__ import annotations
 
-import pytest
 from conftest import rows, ts
+from pyspark.sql import functions as F
 
 from orderloom.operators import basetable, clean, items, reports
 from orderloom.operators.orders import TRAINING_WINDOW
-from orderloom.operators.skew import hot_keys, join_on_unique
 from orderloom.sources import schemas
 from orderloom.sources.tables import OrderTables
 
@@ -34,10 +33,10 @@ def tables(spark, with_reviews=True):
     )
 
 
-def parts(spark, hot_rows=5_000_000, with_reviews=True):
+def parts(spark, rows_per_task=1_000_000, with_reviews=True):
     given = tables(spark, with_reviews)
     stats = items.fit_item_stats(given.order_items, given.products)
-    return basetable.prepare_parts(given, stats, TRAINING_WINDOW, hot_rows=hot_rows)
+    return basetable.prepare_parts(given, stats, TRAINING_WINDOW, rows_per_task=rows_per_task)
 
 
 def test_left_joins_keep_every_review(spark):
@@ -73,48 +72,33 @@ def test_holdout_has_no_review_columns(spark):
     assert rows(basetable.incomplete_rows_count(everything)) == [(7, 3)]
 
 
-@pytest.mark.parametrize("with_reviews", [True, False])
-def test_hot_orders_change_nothing_but_the_plan(spark, with_reviews):
-    plain = parts(spark, with_reviews=with_reviews)
-    hot = parts(spark, hot_rows=0, with_reviews=with_reviews)
-    assert not plain.hot and "full0" in hot.hot
+def test_salting_changes_nothing_but_the_plan(spark):
+    plain, salted = parts(spark), parts(spark, rows_per_task=1)
     for build in (basetable.join_parts, basetable.complete_rows):
-        assert rows(build(hot)) == rows(build(plain))
+        assert rows(build(salted)) == rows(build(plain))
 
 
-def test_hot_keys_and_balanced_join(spark):
-    left = spark.createDataFrame([("h", n) for n in range(50)] + [("c", 1), ("c", 2), ("lone", 1), (None, 1)], "k string, n int")
-    right = spark.createDataFrame([("h", "H"), ("c", "C"), ("unused", "U")], "k string, v string")
-    assert hot_keys(left, "k", 10) == ["h"]
-    for how in ("left", "inner"):
-        plain = left.join(right, "k", how)
-        balanced = join_on_unique(left, [right], "k", how, ["h"])
-        assert rows(balanced, "k", "n", "v") == rows(plain, "k", "n", "v")
-    with pytest.raises(ValueError):
-        join_on_unique(left, [right], "k", "full")
-
-
-def test_right_side_that_repeats_its_keys_is_not_broadcast(spark, monkeypatch):
-    from orderloom.operators import skew
-
-    left = spark.createDataFrame([("h", 1), ("c", 2)], "k string, n int")
-    right = spark.createDataFrame([("h", str(n)) for n in range(5)] + [("c", "x")], "k string, v string")
-    monkeypatch.setattr(skew, "BROADCAST_ROWS", 4)
-    joined = join_on_unique(left, [right], "k", "left", ["h"])
-    assert rows(joined) == rows(left.join(right, "k", "left"))
-    hints = joined._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in hints
-
-
-def test_hot_rows_are_not_shuffled(spark):
-    left = spark.range(1000).selectExpr("if(id % 3 = 0, 7, id) AS k", "id AS n")
-    right = spark.range(1000).selectExpr("id AS k", "id * 2 AS v").groupBy("k").sum("v")
+def test_a_tied_order_is_dealt_out(spark):
+    """A third of all reviews tie for one order; a task gets a share of them."""
+    reviews = spark.range(0, 30_000, 1, 8).selectExpr(
+        "md5(string(id)) AS review_id", "if(id % 3 = 0, 'hot', string(id)) AS order_id",
+        "if(id % 3 = 0, 10000L, 1L) AS review_ties",
+    )
+    sides = spark.range(30_000).selectExpr("string(id) AS order_id", "id AS v").union(
+        spark.createDataFrame([("hot", -1)], "order_id string, v bigint"))
+    tied = spark.createDataFrame([("hot", 10_000)], "order_id string, review_ties bigint")
+    joined = basetable._to_reviews(reviews, sides, tied, "inner", 500)
+    assert joined.count() == 30_000 and joined.where("v = -1").count() == 10_000
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        plan = join_on_unique(left, [right], "k", "left", [7])._jdf.queryExecution().executedPlan().toString()
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(r["count"] for r in sizes) < 3 * 30_000 / len(sizes) and len(sizes) > 1
+    assert "SinglePartition" not in plan and "Broadcast" not in plan
 
 
 def test_reports(spark):

@@ -5,7 +5,7 @@ import itertools
 from conftest import rows
 from pyspark.sql import functions as F
 
-from orderloom.operators import items
+from orderloom.operators import basetable, clean, items, profile
 from orderloom.sources import schemas, standin
 
 PRODUCTS = [
@@ -114,13 +114,47 @@ def test_absent_category_gets_a_column_of_zeros(spark):
     assert rows(wide, "total_amount_absent") == [(0.0,)] * 3
 
 
-def test_many_categories_take_the_long_way_to_the_same_rows(spark, monkeypatch):
-    source = tables(spark)
+def test_any_number_of_categories(spark):
+    products = [(f"p{n}", n, 1, 1, 1, 1, 1, 1, f"c{n % 12_000:05}") for n in range(12_500)]
+    source = tables(spark, [("o", n, f"p{n}", 1.0, 1.0) for n in range(12_500)], products)
+    stats = items.fit_item_stats(*source, wide=False)
+    assert stats.mode == "c00000" and stats.categories == ()
+    long = items.category_amounts_long(items.prepare_items(*source, stats))
+    assert rows(long.groupBy("amount").count()) == [(2.0, 11_500), (4.0, 500)]
+    assert len(items.fit_item_stats(*source).categories) == 12_000
+
+
+def test_odd_category_names(spark):
+    names = ["home.garden", "Art", "art", "a`b", "", "Art_2"]
+    products = [(f"p{n}", 1, 1, 1, 1, 1, 1, 1, c) for n, c in enumerate(names)]
+    source = tables(spark, [("o", n, f"p{n}", float(n), 0.0) for n in range(len(names))], products)
     stats = items.fit_item_stats(*source)
-    prepared = items.prepare_items(*source, stats)
-    direct = rows(items.items_per_order(prepared, stats.categories))
-    monkeypatch.setattr(items, "WIDE", 1)
-    assert rows(items.items_per_order(prepared, stats.categories)) == direct
+    wide = items.items_per_order(items.prepare_items(*source, stats), stats.categories)
+    made = [c for c in wide.columns if c.startswith(items.AMOUNT_PREFIX)]
+    assert len({c.lower() for c in made}) == len(made) == len(names)
+    assert rows(profile.null_counts(wide), "null_count") == [(0,)] * len(wide.columns)
+    assert clean.all_present(wide).count() == 1
+    assert sorted(wide.select(*[F.col(clean.quoted(c)) for c in made]).first()) == [0.0, 1.0, 2.0, 3.0, 4.0, 5.0]
+    assert rows(basetable.incomplete_rows_count(wide)) == [(1, 0)]
+
+
+def test_fine_and_large_amounts(spark):
+    source = tables(spark, [("a", n, "p1", 0.00004, 0.0) for n in range(50)] + [("b", n, "p1", 3e14 + n, 0.5) for n in range(4)]
+                    + [("c", 1, "p1", float("inf"), 1.0)])
+    stats = items.fit_item_stats(*source)
+    out = {r.order_id: r for r in items.items_per_order(items.prepare_items(*source, stats), ("x",)).collect()}
+    assert (out["a"].total_amount_x, out["a"].total_price) == (0.002, 0.0)
+    assert (out["b"].total_price, out["b"].average_price) == (1_200_000_000_000_006.0, 300_000_000_000_001.5)
+    assert out["c"].total_price is None and out["c"].total_shipping_cost == 1.0
+
+
+def test_whole_measures_of_a_double_column_are_cut(spark):
+    order_items, products = tables(spark)
+    wide = products.withColumn("product_description_lenght", F.col("product_description_lenght").cast("double"))
+    half = wide.withColumn("product_description_lenght", F.col("product_description_lenght") + 0.25)
+    for given, want in ((wide, 100.0), (half, 100.75)):
+        filled = items.fit_item_stats(order_items, given).fill(given)
+        assert filled.where("product_id = 'p4'").first().product_description_lenght == want
 
 
 def test_fused_rollup_equals_joined_rollups(spark, folder):

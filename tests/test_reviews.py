@@ -84,8 +84,6 @@ def test_counts(spark):
     assert rows(reviews.review_count_histogram(df)) == [(1, 2), (2, 2), (3, 1)]
     attached = rows(reviews.attach_review_count(df), "review_id", "review_count")
     assert attached[:2] == [("r0", None), ("r1", 1)] and len(attached) == 10
-    # every order counted as hot: same rows through the broadcast side
-    assert rows(reviews.attach_review_count(df, hot_rows=0), "review_id", "review_count") == attached
 
 
 def test_label_and_features(spark):

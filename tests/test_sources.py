@@ -25,6 +25,31 @@ def test_written_quotes_come_back(spark, tmp_path):
     assert rows(tables.read_csv_table(spark, path, "products")) == [PRODUCT]
 
 
+def csv(tmp_path, text):
+    (tmp_path / "given.csv").write_text(text)
+    return str(tmp_path / "given.csv")
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    path = csv(tmp_path, "payment_type,extra,payment_sequential,order_id,payment_value,payment_installments\ncard,e,1,o,2.5,3\n")
+    assert rows(tables.read_csv_table(spark, path, "order_payments")) == [("o", 1, "card", 3, 2.5)]
+    with pytest.raises(ValueError, match="payment_value"):
+        tables.read_csv_table(spark, csv(tmp_path, "order_id,payment_type,payment_sequential,payment_installments\n"), "order_payments")
+
+
+def test_numbers_keep_their_value_and_rejects_are_counted(spark, tmp_path):
+    head = ",".join(schemas.PRODUCTS.names)
+    path = csv(tmp_path, f"{head}\na,40.0,287.5,NA,,x,1e2, 7 ,c\n")
+    assert rows(tables.read_csv_table(spark, path, "products")) == [("a", 40.0, 287.5, None, None, None, 100.0, 7.0, "c")]
+    found = dict(rows(tables.csv_rejects(spark, path, schemas.PRODUCTS, True)))
+    assert {k for k, n in found.items() if n} == {"product_length_cm"} and found["product_length_cm"] == 1
+    path = csv(tmp_path, "order_id,payment_sequential,payment_type,payment_installments,payment_value\no,2.0,t,2.5,NA\n")
+    assert rows(tables.read_csv_table(spark, path, "order_payments")) == [("o", 2, "t", None, None)]
+    assert dict(rows(tables.csv_rejects(spark, path, schemas.ORDER_PAYMENTS))) == {
+        "payment_sequential": 0, "payment_installments": 1, "payment_value": 0,
+    }
+
+
 def test_inference_is_an_option(spark, tmp_path):
     path = str(tmp_path / "items.csv")
     (tmp_path / "items.csv").write_text("order_id,order_item_id,product_id,price,shipping_cost\n1,2,x,3.5,\n")
