@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.sql import DataFrame
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def area(
@@ -13,21 +13,71 @@ def area(
     metric: str = "areaUnderROC",
     score: str = "rawPrediction",
     label: str = "label",
-    bins: int = 1000,
+    bins: int = 0,
 ) -> float:
-    """Area under the ROC or PR curve. ``bins=0`` keeps every distinct score."""
+    """Area under the ROC or PR curve, over every distinct score unless ``bins`` thins them."""
     return BinaryClassificationEvaluator(
         metricName=metric, rawPredictionCol=score, labelCol=label, numBins=bins
     ).evaluate(scored)
 
 
+def shares(scored: DataFrame, prediction: str = "prediction", label: str = "label") -> dict[str, float]:
+    """``accuracy``, and ``f1``: the F1 of each class weighted by its rows.
+
+    Both follow from one count per label and prediction.
+    """
+    counts = {
+        (float(r[0]), float(r[1])): r[2]
+        for r in scored.groupBy(label, prediction).agg(F.count("*")).collect()
+    }
+    total = sum(counts.values())
+    if not total:
+        return {"accuracy": 0.0, "f1": 0.0}
+    hits = {c: counts.get((c, c), 0) for c in {c for pair in counts for c in pair}}
+    f1 = 0.0
+    for c, hit in hits.items():
+        actual = sum(n for (own, _), n in counts.items() if own == c)
+        said = sum(n for (_, own), n in counts.items() if own == c)
+        f1 += actual / total * 2 * hit / (actual + said)
+    return {"accuracy": sum(hits.values()) / total, "f1": f1}
+
+
 def share(
     scored: DataFrame, metric: str, prediction: str = "prediction", label: str = "label"
 ) -> float:
-    """``accuracy``, or ``f1``: the F1 of each class weighted by its rows."""
-    return MulticlassClassificationEvaluator(
-        metricName=metric, predictionCol=prediction, labelCol=label
-    ).evaluate(scored)
+    return shares(scored, prediction, label)[metric]
+
+
+#: Ranges of scores whose counts are summed first.
+CURVE_RANGES = 1000
+
+
+def curves(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+    """(curve, threshold, x, y): the ROC and precision-recall points of every distinct score.
+
+    ``score`` lies between 0 and 1. Counts per score are summed from the highest down:
+    a thousand ranges first, then inside each range, so no task sees all scores.
+    """
+    place = F.least(F.floor(F.col("threshold") * CURVE_RANGES), F.lit(CURVE_RANGES - 1)).alias("place")
+    per_score = scored.groupBy(F.col(score).alias("threshold")).agg(
+        F.sum(F.col(label).cast("bigint")).alias("pos"), F.count("*").alias("n")
+    ).select("threshold", "pos", (F.col("n") - F.col("pos")).alias("neg"), place)
+    inside = Window.partitionBy("place").orderBy(F.desc("threshold"))
+    above = Window.orderBy(F.desc("place")).rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy()
+    ranges = per_score.groupBy("place").agg(F.sum("pos").alias("p"), F.sum("neg").alias("q")).select(
+        "place", F.coalesce(F.sum("p").over(above), F.lit(0)).alias("pos_above"),
+        F.coalesce(F.sum("q").over(above), F.lit(0)).alias("neg_above"),
+        F.sum("p").over(every).alias("all_pos"), F.sum("q").over(every).alias("all_neg"),
+    )
+    points = per_score.join(ranges, "place").select(
+        "threshold", (F.col("pos_above") + F.sum("pos").over(inside)).alias("tp"),
+        (F.col("neg_above") + F.sum("neg").over(inside)).alias("fp"), "all_pos", "all_neg",
+    )
+    rate = F.try_divide("tp", "all_pos")
+    roc = points.select(F.lit("roc").alias("curve"), "threshold", F.try_divide("fp", "all_neg").alias("x"), rate.alias("y"))
+    pr = points.select(F.lit("pr").alias("curve"), "threshold", rate.alias("x"), (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("y"))
+    return roc.unionByName(pr)
 
 
 def as_table(like: DataFrame, values: Mapping[str, float]) -> DataFrame:
@@ -40,6 +90,5 @@ def evaluate(scored: DataFrame) -> DataFrame:
     return as_table(scored, {
         "area_under_roc": area(scored),
         "area_under_pr": area(scored, "areaUnderPR"),
-        "accuracy": share(scored, "accuracy"),
-        "f1": share(scored, "f1"),
+        **shares(scored),
     })

@@ -11,9 +11,13 @@ from pyspark.ml.classification import (
     LogisticRegressionModel,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from orderloom.ml.metrics import curves
+from orderloom.ml.split import split_bucket
+
 # The searched grid.
 CV_DEPTHS = (2, 5)
 CV_FOLDS = 2
@@ -34,17 +38,24 @@ def cross_validate_tree(
     folds: int = CV_FOLDS,
     seed: int = CV_SEED,
     parallelism: int = 2,
+    key: str = "order_id",
 ) -> CrossValidatorModel:
-    """Choose the tree depth by area under ROC; the best is refitted on all rows."""
+    """Choose the tree depth by area under ROC; the best is refitted on all rows.
+
+    Folds go by a hash of the key, so they hold whole orders and are the same under any
+    partitioning.
+    """
     tree = DecisionTreeClassifier(seed=seed)
+    folded = train.withColumn("fold", (split_bucket(F.col(key), seed) % folds).cast("int"))
     return CrossValidator(
         estimator=tree,
-        evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC"),
+        evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0),
         estimatorParamMaps=ParamGridBuilder().addGrid(tree.maxDepth, list(depths)).build(),
         numFolds=folds,
         seed=seed,
         parallelism=parallelism,
-    ).fit(train)
+        foldCol="fold",
+    ).fit(folded)
 
 
 def cross_validation_report(fitted: CrossValidatorModel, spark: SparkSession) -> DataFrame:
@@ -87,15 +98,14 @@ def logistic_report(model: LogisticRegressionModel, train: DataFrame) -> DataFra
     return train.sparkSession.createDataFrame(rows, "part string, idx int, name string, value double")
 
 
-def logistic_curves(model: LogisticRegressionModel) -> DataFrame:
-    """(curve, x, y): the ROC and precision-recall points of the training rows."""
-    roc = model.summary.roc.select(
-        F.lit("roc").alias("curve"), F.col("FPR").alias("x"), F.col("TPR").alias("y")
-    )
-    pr = model.summary.pr.select(
-        F.lit("pr").alias("curve"), F.col("recall").alias("x"), F.col("precision").alias("y")
-    )
-    return roc.unionByName(pr)
+def with_score(model: LogisticRegressionModel, rows: DataFrame) -> DataFrame:
+    """Rows with the probability of the positive class as ``score``."""
+    return model.transform(rows).withColumn("score", vector_to_array("probability")[1])
+
+
+def logistic_curves(model: LogisticRegressionModel, rows: DataFrame) -> DataFrame:
+    """(curve, threshold, x, y): the ROC and precision-recall points of some rows, none thinned out."""
+    return curves(with_score(model, rows))
 
 
 def training_summary(model: LogisticRegressionModel, spark: SparkSession) -> DataFrame:

@@ -22,6 +22,7 @@ from orderloom.ml.encode import (
 from orderloom.ml.models import fit_tree
 from orderloom.ml.split import split_by_key
 from orderloom.operators.basetable import holdout_basetable, training_basetable
+from orderloom.operators.clean import quoted
 from orderloom.operators.items import ItemStats, fit_item_stats
 from orderloom.operators.orders import HOLDOUT_WINDOW, TRAINING_WINDOW
 from orderloom.session import cut_lineage
@@ -30,10 +31,11 @@ from orderloom.sources.tables import OrderTables
 
 @dataclass(frozen=True)
 class Scorer:
-    """Everything fitted on training data that scoring needs.
+    """Everything fitted on training data that evaluation and scoring need.
 
     Imputation, category columns, value indexes and the tree all come from the
-    training tables, so a vector slot means the same in training and holdout.
+    training tables, so a vector slot means the same in training, test and holdout,
+    and the model that scores is the one that was evaluated.
     """
 
     stats: ItemStats
@@ -41,25 +43,40 @@ class Scorer:
     tree: DecisionTreeClassificationModel
     categories: Sequence[str]
 
+    def features(self, base: DataFrame) -> DataFrame:
+        """(order_id, features, and label where the base table has one)."""
+        names = strong_columns(self.categories, labelled="label" in base.columns)
+        return assemble(select_columns(encode(base, self.encoding), names))
+
     def score(self, tables: OrderTables, window: tuple[str, str] = HOLDOUT_WINDOW) -> DataFrame:
         """(order_id, prediction) for every complete order of the window."""
-        rows = encode(holdout_basetable(tables, self.stats, window), self.encoding)
-        features = assemble(select_columns(rows, strong_columns(self.categories, labelled=False)))
+        features = self.features(holdout_basetable(tables, self.stats, window))
         return self.tree.transform(features).select("order_id", "prediction")
 
 
-def fit_scorer(
+def fit_with_test(
     tables: OrderTables,
     window: tuple[str, str] = TRAINING_WINDOW,
     categories: Sequence[str] = STRONG_CATEGORIES,
-) -> Scorer:
-    """Fit on the training side of the split, over the ten strongest features."""
+) -> tuple[Scorer, DataFrame]:
+    """A scorer over the ten strongest features, and the test side it has not seen.
+
+    Values are indexed over the whole base table, with a slot for others; the tree is
+    fitted on the training side of the split by key.
+    """
     stats = fit_item_stats(tables.order_items, tables.products)
     names = strong_columns(categories)
     base = training_basetable(tables, stats, window)
     # indexing and growing the tree read the table again and again
-    rows = cut_lineage(base.select(*raw_columns(base, names)))
+    rows = cut_lineage(base.select(*[quoted(c) for c in raw_columns(base, names)]))
     encoding = encoder(used_categoricals(names), unseen="keep").fit(rows)
-    model_rows = assemble(select_columns(encode(rows, encoding), names))
-    train, _ = split_by_key(model_rows)
-    return Scorer(stats, encoding, fit_tree(train), categories)
+    train, test = split_by_key(assemble(select_columns(encode(rows, encoding), names)))
+    return Scorer(stats, encoding, fit_tree(train), categories), test
+
+
+def fit_scorer(
+    tables: OrderTables,
+    window: tuple[str, str] = TRAINING_WINDOW,
+    categories: Sequence[str] = STRONG_CATEGORIES,
+) -> Scorer:
+    return fit_with_test(tables, window, categories)[0]

@@ -410,6 +410,11 @@ RULED = """
   FROM basetable"""
 
 
+SIDES = f"""
+  SELECT *, avg(label) FILTER (train) OVER (PARTITION BY early) AS s, avg(label) FILTER (train) OVER () AS all_s
+  FROM (SELECT review_id, order_id, label, "DeliveryTimeStatus" = 'early' AS early, {BUCKET} < 7000 AS train FROM basetable)"""
+
+
 def report(group: str) -> str:
     return with_tables(
         f"SELECT {_q(group)}, count(*) AS reviews, "
@@ -614,4 +619,23 @@ def statements() -> dict[str, str]:
         "metric_accuracy_f1": w(
             "SELECT 'accuracy' AS metric, round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 9) AS value FROM ruled "
             f"UNION ALL SELECT 'f1', round(CAST({f1_of(0)} + {f1_of(1)} AS DOUBLE), 9) FROM ruled", ruled=RULED),
+        "metric_curves": w(
+            "SELECT curve, round(score / 100, 9) AS threshold, round(x, 9) AS x, round(y, 9) AS y FROM ("
+            "SELECT 'roc' AS curve, score, CAST(fp AS DOUBLE) / n AS x, CAST(tp AS DOUBLE) / p AS y FROM points "
+            "UNION ALL SELECT 'pr', score, CAST(tp AS DOUBLE) / p, CAST(tp AS DOUBLE) / (tp + fp) FROM points)",
+            ruled=RULED, roc=ROC,
+            points="SELECT score, sum(pos) OVER d AS tp, sum(neg) OVER d AS fp, (SELECT sum(pos) FROM roc) AS p, "
+            "(SELECT sum(neg) FROM roc) AS n FROM roc WINDOW d AS (ORDER BY score DESC)"),
+        "split_random": w("SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_overlap FROM basetable"),
+        "tree_rows": w(f"SELECT order_id, label FROM basetable WHERE {BUCKET} >= 7000"),
+        "score_rows": w("SELECT order_id, 1 AS is_class FROM h_basetable"),
+        "importance_total": w(
+            f"SELECT CAST({len(DAYS) + 11 + len(CATEGORIES)} + " + " + ".join(
+                f"(SELECT count(DISTINCT {_q(c)}) - 1 FROM basetable)" for c in CATEGORICALS)
+            + " AS BIGINT) AS features, 1.0::DOUBLE AS total"),
+        "tree_stump": w(
+            "SELECT review_id, order_id, CAST(CASE WHEN s > 0.5 THEN 1 ELSE 0 END AS DOUBLE) AS prediction, "
+            "round(CASE WHEN (least_s > 0.5) = (most_s > 0.5) THEN all_s ELSE s END, 6) AS share "
+            "FROM (SELECT *, min(s) OVER () AS least_s, max(s) OVER () AS most_s FROM sides) WHERE NOT train", sides=SIDES),
+        "logreg_indicator": w("SELECT review_id, order_id, round(s, 4) AS share FROM sides WHERE NOT train", sides=SIDES),
     }

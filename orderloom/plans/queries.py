@@ -587,6 +587,15 @@ def split_train_test(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def split_random(spark: SparkSession, sf: str) -> DataFrame:
+    """A split by row sampling: rows on both sides together, and rows on both sides at once."""
+    rows = _stored(_basetable(spark, sf), "review_id")
+    train, test = split.split_at_random(rows)
+    both = train.join(test, "review_id").agg(F.count("*").alias("n_overlap"))
+    return train.unionByName(test).agg(F.count("*").alias("n_rows")).crossJoin(both)
+
+
 @query
 def assemble_features(spark: SparkSession, sf: str) -> DataFrame:
     """The ten strongest features by a formula fitted on the training side."""
@@ -628,10 +637,15 @@ def tree_predict(spark: SparkSession, sf: str) -> DataFrame:
     return models.fit_tree(train).transform(test).select(*_PREDICTED)
 
 
+def _evaluated(spark: SparkSession, sf: str) -> tuple[score.Scorer, DataFrame]:
+    """The scorer and its test side: the one model that is evaluated and that scores."""
+    return score.fit_with_test(standin.training_tables(spark, sf), standin.TRAINING, STRONG)
+
+
 @query
 def tree_predict_top10(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = _sides(spark, sf, strong=True)
-    return models.fit_tree(train).transform(test).select(*_PREDICTED)
+    scorer, test = _evaluated(spark, sf)
+    return scorer.tree.transform(test).select(*_PREDICTED)
 
 
 @query
@@ -641,11 +655,69 @@ def tree_cv(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def tree_evaluate(spark: SparkSession, sf: str) -> DataFrame:
+def tree_cv_evaluate(spark: SparkSession, sf: str) -> DataFrame:
+    """The cross-validated tree on the test side."""
     train, test = _sides(spark, sf, strong=True)
+    return metrics.evaluate(models.cross_validate_tree(train).bestModel.transform(test))
+
+
+@query
+def tree_evaluate(spark: SparkSession, sf: str) -> DataFrame:
+    scorer, test = _evaluated(spark, sf)
+    return metrics.evaluate(scorer.tree.transform(test))
+
+
+@query
+def tree_evaluate_full(spark: SparkSession, sf: str) -> DataFrame:
+    """The tree over all features on the test side."""
+    train, test = _sides(spark, sf)
     return metrics.evaluate(models.fit_tree(train).transform(test))
 
 
+def _indicator(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """(train, test) with one feature: whether the order was delivered early."""
+    early = (F.col("DeliveryTimeStatus") == calendar.EARLY).cast("double").alias("early")
+    rows = _stored(_basetable(spark, sf).withColumn("early", early), "review_id", "order_id", "label", "early")
+    return split.split_by_key(encode.VectorAssembler(inputCols=["early"], outputCol="features").transform(rows))
+
+
+@query
+def tree_stump(spark: SparkSession, sf: str) -> DataFrame:
+    """A tree over one indicator, whose predictions SQL can state."""
+    train, test = _indicator(spark, sf)
+    scored = models.fit_tree(train, maxDepth=1).transform(test)
+    share = F.round(vector_to_array("probability")[1], 6).alias("share")
+    return scored.select("review_id", "order_id", "prediction", share)
+
+
+@query
+def logreg_indicator(spark: SparkSession, sf: str) -> DataFrame:
+    """Logistic regression over one indicator: its probabilities are the means of two groups."""
+    train, test = _indicator(spark, sf)
+    scored = models.with_score(models.fit_logistic(train, tol=1e-12, maxIter=200, standardization=False), test)
+    return scored.select("review_id", "order_id", F.round("score", 4).alias("share"))
+
+
+@query
+def tree_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows that get a prediction, with their label."""
+    return tree_predict_top10(spark, sf).select("order_id", F.col("label").cast("int").alias("label"))
+
+
+@query
+def score_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The orders that get a score, and whether each score is a class."""
+    return score_output(spark, sf).select("order_id", F.col("prediction").isin(0.0, 1.0).cast("int").alias("is_class"))
+
+
+@query
+def importance_total(spark: SparkSession, sf: str) -> DataFrame:
+    """Number of features of the full tree, and the sum of their importance."""
+    train, _ = _sides(spark, sf)
+    every = models.feature_importance(models.fit_tree(train), train, top=10_000)
+    return every.agg(F.count("*").alias("features"), F.round(F.sum("score"), 6).alias("total"))
+
+
 @query
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
     train, _ = _sides(spark, sf)
@@ -667,7 +739,14 @@ def logreg_report(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def logreg_curves(spark: SparkSession, sf: str) -> DataFrame:
     train, _ = _sides(spark, sf)
-    return models.logistic_curves(models.fit_logistic(train))
+    return models.logistic_curves(models.fit_logistic(train), train)
+
+
+@query
+def logreg_evaluate(spark: SparkSession, sf: str) -> DataFrame:
+    """The logistic model on the test side."""
+    train, test = _sides(spark, sf)
+    return metrics.evaluate(models.fit_logistic(train).transform(test))
 
 
 @query
@@ -685,6 +764,14 @@ def _ruled(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def metric_curves(spark: SparkSession, sf: str) -> DataFrame:
+    """Both curves of a score between 0 and 1, point by point."""
+    ruled = _ruled(spark, sf).withColumn("score", F.col("score") / 100)
+    points = metrics.curves(ruled)
+    return points.select("curve", *[F.round(c, 9).alias(c) for c in ("threshold", "x", "y")])
+
+
 @query
 def metric_auc(spark: SparkSession, sf: str) -> DataFrame:
     ruled = _ruled(spark, sf)
@@ -702,14 +789,14 @@ def metric_pr(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def metric_accuracy_f1(spark: SparkSession, sf: str) -> DataFrame:
     ruled = _ruled(spark, sf)
-    values = {name: round(metrics.share(ruled, name), 9) for name in ("accuracy", "f1")}
+    values = {name: round(value, 9) for name, value in metrics.shares(ruled).items()}
     return metrics.as_table(ruled, values)
 
 
 @query
 def score_output(spark: SparkSession, sf: str) -> DataFrame:
     """Fit on training tables, score the holdout, write the result and read it back."""
-    scorer = score.fit_scorer(standin.training_tables(spark, sf), standin.TRAINING, STRONG)
+    scorer, _ = _evaluated(spark, sf)
     path = shared_path(spark, "scores")
     tables.write_scores(scorer.score(standin.holdout_tables(spark, sf), standin.HOLDOUT), path)
     return spark.read.parquet(path)

@@ -98,7 +98,7 @@ def test_logistic_regression_solves_its_equations(signal, spark):
     assert {r.part: r["count"] for r in report.groupBy("part").count().collect()}["coefficient"] == 2
     losses = [r.value for r in report.where("part = 'objective'").orderBy("idx").collect()]
     assert losses == sorted(losses, reverse=True)
-    curves = models.logistic_curves(model)
+    curves = models.logistic_curves(model, signal)
     assert curves.where("x < 0 OR x > 1 OR y < 0 OR y > 1").count() == 0
     summary = {r.metric: r.value for r in models.training_summary(model, spark).collect()}
     assert summary["area_under_roc"] > 0.9
@@ -122,6 +122,26 @@ def test_metrics_by_hand(spark):
     assert abs(metrics.share(df, "f1") - (0.8 + 2 / 3) / 2) < 1e-12
 
 
+def test_curves_hold_every_score(spark):
+    df = spark.range(5000).selectExpr("(id * 7 % 3001) / 3000 AS score", "int(id % 3 = 0) AS label")
+    points = metrics.curves(df)
+    assert points.where("curve = 'roc'").count() == points.where("curve = 'pr'").count() == 3001
+    last = points.where("curve = 'roc' AND threshold = 0").first()
+    assert (last["x"], last["y"]) == (1.0, 1.0)
+    roc = sorted((r["x"], r["y"]) for r in points.where("curve = 'roc'").collect())
+    area = sum((x - x0) * (y + y0) / 2 for (x0, y0), (x, y) in zip([(0.0, 0.0), *roc], roc))
+    assert abs(area - metrics.area(df.withColumn("label", F.col("label").cast("double")), score="score")) < 1e-9
+
+
+def test_the_scorer_is_the_evaluated_model(spark, folder):
+    scorer, test = score.fit_with_test(standin.training_tables(spark, folder), standin.TRAINING, STRONG)
+    again = score.fit_scorer(standin.training_tables(spark, folder), standin.TRAINING, STRONG)
+    assert again.tree.toDebugString.split("\n")[1:] == scorer.tree.toDebugString.split("\n")[1:]
+    holdout = score.holdout_basetable(standin.holdout_tables(spark, folder), scorer.stats, standin.HOLDOUT)
+    size = lambda df: df.select(F.size(vector_to_array("features"))).first()[0]
+    assert size(scorer.features(holdout)) == size(test) == scorer.tree.numFeatures
+
+
 def test_holdout_scores(spark, folder):
     scorer = score.fit_scorer(standin.training_tables(spark, folder), standin.TRAINING, STRONG)
     scores = scorer.score(standin.holdout_tables(spark, folder), standin.HOLDOUT)
