@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, functions as F
 CAPACITY = 4096
 #: Tokens gathered before a batch is packed: about 500 windows of 4,096.
 BATCH_TOKENS = 1 << 21
-#: Words remembered per Python worker, about 200 bytes each.
-CACHE_WORDS = 1_000_000
+#: Words remembered per Python worker, about 160 bytes each; longer ones seldom come back.
+CACHE_WORDS = 250_000
+CACHE_BYTES = 16
 #: ASCII punctuation and symbols: a run of them is one token group of its own.
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -23,7 +24,7 @@ class WordIds(dict):
     """Token ids of words, as little-endian unsigned 32-bit bytes.
 
     The vocabulary drops white space and never merges across it, so a text's ids are
-    those of its words in order. Words are remembered up to ``CACHE_WORDS``.
+    those of its words in order. Up to ``CACHE_WORDS`` short words are remembered.
     """
 
     def __init__(self, path: str):
@@ -49,7 +50,7 @@ class WordIds(dict):
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self._of(word)
-        if len(self) < CACHE_WORDS:
+        if len(self) < CACHE_WORDS and len(word) <= CACHE_BYTES:
             self[word] = ids
         return ids
 
