@@ -17,6 +17,8 @@ LONGEST = 3
 FIT_ROWS = 5_000
 _SHARES = 1_000_000
 _CHUNK = 1 << 20
+#: Texts whose counts are held at once while learning.
+_FIT_TEXTS = 500
 #: Stands for a gap inside an n-gram; no letter has this number.
 _GAP = 1
 
@@ -108,9 +110,10 @@ def fit(
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for lang, texts in batch.groupby("lang")["text"]:
-                parts = [grams(t) for t in texts]
-                found, n = _counted(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
-                yield pd.DataFrame({"lang": lang, "gram": found, "n": n})
+                for at in range(0, len(texts), _FIT_TEXTS):
+                    parts = [grams(t) for t in texts.iloc[at : at + _FIT_TEXTS]]
+                    found, n = _counted(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+                    yield pd.DataFrame({"lang": lang, "gram": found, "n": n})
 
     counts = sample.select("text", "lang").mapInPandas(count, "lang string, gram bigint, n bigint")
     summed = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
