@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from orderloom.llm.stages import attach, discard, stage
+from orderloom.llm.stages import attach, discard, likely, stage
 
 #: Lines shorter than this are duplicates only of equal lines; from here on within one edit.
 NEAR_CHARS = 20
@@ -65,7 +65,8 @@ def near_lines(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     halves = distinct.select(*_ID, "first", F.posexplode(F.array("v0", "v1", "v2", "v3")).alias("which", "variant")).where("variant is not null")
     halves = stage(_shared(halves), "halves")
     wanted = halves.select(*_ID, F.col("first").alias("at")).distinct()
-    texts = stage(lines.join(wanted, [*_ID, "at"], "left_semi").dropDuplicates(_ID), "texts").select(*_ID, F.col("at").alias("first"), "norm")
+    # An inner join: Spark would move a semi join below the filter.
+    texts = stage(likely(lines, wanted, "h1").join(wanted, [*_ID, "at"]).dropDuplicates(_ID), "texts").select(*_ID, F.col("at").alias("first"), "norm")
 
     extra, part = F.floor(F.col("which") / 2).cast("int"), F.col("which") % 2
     _, stretch, _ = _without(F.col("norm"), extra, part, 2)
