@@ -7,10 +7,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 BASE_WINDOW = 5
-#: Largest share of word characters inside n-grams that occur twice or more.
-COVERAGE = {5: 0.35, 6: 0.34, 7: 0.33, 8: 0.32, 9: 0.31, 10: 0.30}
+#: Largest share of word characters inside n-grams that occur twice or more. Below the
+#: fifth of the words that the base rule allows, else they could not reject anything.
+COVERAGE = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
 #: Largest share of word characters inside lines that occur twice or more.
-LINE_COVERAGE = 0.5
+LINE_COVERAGE = 0.2
 LEAST_WORDS = 10
 SYMBOLS = "#*$%&|<>"
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)

@@ -55,6 +55,29 @@ def test_query_equals_brute_force(spark, folder):
     assert 0.5 < np.mean([r["kept"] for r in got]) < 1
 
 
+def passage_twice(width, n):
+    """n distinct words of one length, but for a passage of ``width`` words that comes twice."""
+    words = [f"w{i:04d}" for i in range(n)]
+    words[n - width :] = words[:width]
+    return " ".join(words)
+
+
+def line_twice(n):
+    """n words of one length; a line of four comes twice, with other lines around it."""
+    words = [f"w{i:04d}" for i in range(n - 4)]
+    return "\n".join([" ".join(words[4:9]), " ".join(words[:4]), " ".join(words[9:15]), " ".join(words[:4]), " ".join(words[15:])])
+
+
+def test_each_rule_rejects_what_base_lets_pass(spark):
+    # Two passages of w words take 2 w / n of the characters: above the limit of w, below that of w - 1.
+    bad = {"line": line_twice(38), "5": passage_twice(5, 60)}
+    bad |= {str(w): passage_twice(w, n) for w, n in ((6, 82), (7, 104), (8, 128), (9, 156), (10, 190))}
+    clean = [line_twice(42), *(passage_twice(w, n) for w, n in ((5, 70), (6, 90), (7, 112), (8, 138), (9, 168), (10, 205)))]
+    found = repetition.repetition_rules(documents(spark, [*bad.values(), *clean])).collect()
+    got = [(r["base_failed"], r["fails"], r["kept"]) for r in sorted(found, key=lambda r: r["doc_id"])]
+    assert got == [(False, [rule], False) for rule in bad] + [(False, [], True)] * len(clean)
+
+
 def test_repeats_nulls_and_empty_table(spark):
     assert repetition.repetition_rules(documents(spark, [])).count() == 0
     docs = documents(spark, [(None, None, None, None, None), (1, prose(1, 60), "", "", 0), (1, prose(1, 60), "", "", 0)])
