@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, functions as F
 CAPACITY = 4096
 #: Tokens gathered before a batch is packed: about 500 windows of 4,096.
 BATCH_TOKENS = 1 << 21
+#: Documents gathered before a batch is packed, however short: differencing holds two
+#: numbers for each of their remainders and each window, so at most about 70 MB.
+BATCH_DOCS = 1 << 13
 #: Words remembered per Python worker, about 160 bytes each; longer ones seldom come back.
 CACHE_WORDS = 250_000
 CACHE_BYTES = 16
@@ -208,7 +211,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, end_id: int | None, ca
             if ids:
                 held.append((doc, ids))
                 tokens += len(ids) // 4
-            if tokens >= batch_tokens:
+            if tokens >= batch_tokens or len(held) >= BATCH_DOCS:
                 yield from packed()
     if held:
         yield from packed()
@@ -227,8 +230,8 @@ def pack(
 
     Columns: id, start (the document's tokens before the piece), length, tokens
     (little-endian unsigned 32-bit ids), doc_tokens, sequence_id, offset (gapless from 0
-    in the sequence). Each scan task packs its rows in batches of bounded size, without a
-    shuffle; ids of sequences are made of partition and count, so a task that runs again
+    in the sequence). Each scan task packs its rows in batches of ``batch_tokens`` tokens or
+    ``BATCH_DOCS`` documents, whichever comes first, without a shuffle; ids of sequences are made of partition and count, so a task that runs again
     makes the same ones. A null or empty text has its end token only, or no piece if
     there is no end token. Repeated rows are packed once each; null ids are kept.
     """

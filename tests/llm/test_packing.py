@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import documents, odd_texts, prose
 from hypothesis import given, settings, strategies as st
@@ -102,3 +104,29 @@ def test_differencing_levels_windows():
 def test_differencing_small_case():
     sums = np.bincount(packing.differencing(np.array([8, 7, 6, 5, 4]), 2), [8, 7, 6, 5, 4])
     assert sorted(sums.tolist()) == [14, 16]
+
+
+@pytest.mark.parametrize("text", ["the of and to in is was for on", None])
+def test_many_short_texts_take_bounded_memory(text):
+    n = 60_000
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array([text] * n, pa.string())], ["id", "text"])
+    packing.word_ids(tokenizer_path()).ids(text)
+    each, windows, starts = len(packing.word_ids(tokenizer_path()).ids(text)) // 4 + 1, defaultdict(list), defaultdict(dict)
+    tracemalloc.start()
+    peak = 0
+    for out in packing._pieces(iter([batch]), tokenizer_path(), 2, packing.CAPACITY, packing.BATCH_TOKENS):
+        peak = max(peak, tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()  # what the test itself keeps is not counted
+        for doc, start, length, window, offset in zip(*(out.column(c).to_pylist() for c in (0, 1, 2, 5, 6))):
+            windows[window].append((offset, length))
+            starts[doc][start] = length
+        tracemalloc.start()
+    tracemalloc.stop()
+    assert peak < 30e6
+    assert len(starts) == n and all(sum(own.values()) == each for own in starts.values())
+    for own in windows.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= packing.CAPACITY
