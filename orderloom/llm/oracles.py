@@ -112,3 +112,30 @@ SELECT doc_id, len(string_split(coalesce(text, ''), chr(10)))::BIGINT AS n_lines
        coalesce(n_dropped, 0)::BIGINT AS n_dropped, coalesce(dropped, '') AS dropped_lines
 FROM documents LEFT JOIN s USING (doc_id)
 """
+
+ORACLES["op11_decontamination"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+    FROM documents
+), b AS (
+    SELECT item_id::VARCHAR AS item,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+    FROM benchmark
+), g AS (
+    SELECT DISTINCT item, n, array_to_string(ws[i:i + n - 1], ' ') AS gram
+    FROM (SELECT item, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM (SELECT *, least(len(ws), 10) AS n FROM b WHERE len(ws) > 0))
+), w AS (
+    SELECT r, n, i, array_to_string(ws[i:i + n - 1], ' ') AS gram
+    FROM (SELECT r, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM g))
+), h AS (
+    SELECT r, i, w.n, item FROM w JOIN g ON w.gram = g.gram AND w.n = g.n
+), p AS (
+    SELECT r, count(DISTINCT place)::BIGINT AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS place FROM h) GROUP BY r
+), t AS (
+    SELECT r, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM h WHERE item IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN p USING (r) LEFT JOIN t USING (r)
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderloom.llm import chat, exact, langid, lines, mixing, packing, repetition, secrets, simhash, warc
+from orderloom.llm import chat, decontaminate, exact, langid, lines, mixing, packing, repetition, secrets, simhash, warc
 from orderloom.llm.stages import stage
 from orderloom.session import shared_path
 
@@ -99,9 +99,18 @@ def op10_repetition(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate.contamination(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     q.__name__: q
-    for q in (op1_packing, op2_secrets, op3_simhash, op4_exact, op5_warc, op6_lines, op7_language, op8_chat, op9_mixing, op10_repetition)
+    for q in (op1_packing, op2_secrets, op3_simhash, op4_exact, op5_warc, op6_lines, op7_language, op8_chat, op9_mixing, op10_repetition,
+              op11_decontamination)
 }

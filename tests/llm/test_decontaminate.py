@@ -1,0 +1,118 @@
+from __future__ import annotations
+
+import hashlib
+import re
+
+from helpers import documents, odd_texts, prose
+from orderloom.llm import decontaminate
+from orderloom.llm.queries import op11_decontamination
+from pyspark.sql import functions as F
+
+ITEMS = "item_id bigint, text string"
+LOW = {c: c + 32 for c in range(65, 91)}
+
+
+def split(text):
+    return re.findall(decontaminate.WORD, (text or "").translate(LOW))
+
+
+def brute(texts, items, window=10):
+    """(n_words, hit places, item ids) per text, window by window."""
+    grams = {}
+    for item, text in items:
+        own = split(text)
+        size = min(len(own), window)
+        for i in range(len(own) - size + 1 if own else 0):
+            grams.setdefault(tuple(own[i : i + size]), set()).add(item)
+    out = []
+    for text in texts:
+        own, places, found = split(text), set(), set()
+        for size in {len(g) for g in grams}:
+            for i in range(len(own) - size + 1):
+                if tuple(own[i : i + size]) in grams:
+                    places.update(range(i, i + size))
+                    found |= grams[tuple(own[i : i + size])]
+        out.append((len(own), places, sorted(str(i) for i in found if i is not None)))
+    return out
+
+
+def items():
+    return [
+        (1, prose(5, 30)), (2, prose(6, 12)), (3, "Alpha, BETA gamma"), (4, None), (5, ""), (6, "..."), (7, "ÉÀ x7"), (8, prose(5, 30)), (8, prose(5, 30)),
+        (10, " ".join(f"w{i}" for i in range(10))), (11, " ".join(f"w{i}" for i in range(1, 25))), (None, "omega psi chi phi"), (12, "solo"),
+    ]
+
+
+def texts():
+    a, b = prose(5, 30), prose(6, 12)
+    long = prose(9, 30_000)
+    return [
+        *odd_texts(), a, a.upper(), f"before {a} between {b} after", " ".join(a.split()[:9]), " ".join(a.split()[:10]) + " x", "alpha beta-gamma", "ALPHA\nBETA\nGAMMA alpha",
+        "alphabeta gamma", "éà X7", "ÉÀ x7 ÉÀ X7", " ".join(f"w{i}" for i in range(30)), long + " " + b + " " + long, "omega... psi, chi/phi!", "SOLO", "solos", "solo " * 500,
+    ]
+
+
+def test_hits_equal_brute_force_on_both_ways(spark):
+    docs, bench = documents(spark, texts()), spark.createDataFrame(items(), ITEMS)
+    want = brute(texts(), items())
+    for limit in (decontaminate.BROADCAST_BYTES, 0):
+        got = {r["doc_id"]: r for r in decontaminate.contamination(docs, bench, broadcast_bytes=limit).collect()}
+        assert len(got) == len(want)
+        for i, (n, places, found) in enumerate(want):
+            r = got[i]
+            assert {p for s in r["spans"] for p in range(s["start"], s["end"])} == places
+            assert (r["n_words"], r["n_hit"], list(r["items"])) == (n, len(places), found), i
+
+
+def test_query_on_planted_rows(spark, folder):
+    got = op11_decontamination(spark, folder).collect()
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    bench = [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text").collect()]
+    want = dict(zip(docs, brute(docs.values(), bench)))
+    assert len(got) == len(docs) and any(r["contaminated"] for r in got) and not all(r["contaminated"] for r in got)
+    for r in got:
+        n, places, found = want[r["doc_id"]]
+        digest = hashlib.sha256(",".join(found).encode()).hexdigest()
+        assert (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) == (n, len(places), len(found), digest, bool(places))
+
+
+def test_removal(spark):
+    docs, bench = documents(spark, texts()), spark.createDataFrame(items(), ITEMS)
+    found = decontaminate.contamination(docs, bench)
+    want = brute(texts(), items())
+    left = {r["doc_id"] for r in decontaminate.remove_documents(docs, found).collect()}
+    assert left == {i for i, (_, places, _) in enumerate(want) if not places}
+    cut = {r["doc_id"]: r["text"] for r in decontaminate.remove_spans(docs, found).collect()}
+    for i, (text, (_, places, _)) in enumerate(zip(texts(), want)):
+        if not places:
+            assert cut[i] == text
+        else:
+            assert split(cut[i]) == [w for j, w in enumerate(split(text)) if j not in places]
+    one = documents(spark, ["Keep, these (omega psi chi phi) words!"])
+    cleaned = decontaminate.remove_spans(one, decontaminate.contamination(one, bench)).first()["text"]
+    assert cleaned == "Keep, these () words!"
+
+
+def test_odd_tables(spark):
+    bench = spark.createDataFrame(items(), ITEMS)
+    assert decontaminate.contamination(documents(spark, []), bench).collect() == []
+    none = decontaminate.contamination(documents(spark, texts()), spark.createDataFrame([], ITEMS)).collect()
+    assert len(none) == len(texts()) and all(r["n_hit"] == 0 and not r["spans"] for r in none)
+    rows = [(1, "solo", "en", "s", 0), (1, "solo", "en", "s", 0), (1, "other", "en", "s", 0), (None, "solo", None, None, None), (None, "solo", None, None, None), (None, None, None, None, None)]
+    got = decontaminate.contamination(documents(spark, rows), bench).collect()
+    assert sorted((str(r["doc_id"]), r["n_hit"]) for r in got) == [("1", 0), ("1", 1), ("1", 1), ("None", 0), ("None", 1), ("None", 1)]
+
+
+def test_clashing_columns(spark):
+    docs = documents(spark, ["solo", "x"]).select("doc_id", "text", *[F.lit(i).alias(c) for i, c in enumerate(("words", "digest", "key", "spans", "n_hit", "items", "id", "size"))])
+    bench = spark.createDataFrame(items(), ITEMS).withColumns({"words": F.lit(1), "key": F.lit(2)})
+    found = decontaminate.contamination(docs, bench)
+    assert sorted((r["doc_id"], r["n_hit"]) for r in found.collect()) == [(0, 1), (1, 0)]
+    assert decontaminate.remove_documents(docs, found).columns == docs.columns
+    cut = decontaminate.remove_spans(docs, found)
+    assert cut.columns == docs.columns and {(r["text"], r["spans"], r["n_hit"]) for r in cut.collect()} == {("", 3, 4), ("x", 3, 4)}
+
+
+def test_no_python_in_the_plan(spark, folder):
+    plan = op11_decontamination(spark, folder)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
