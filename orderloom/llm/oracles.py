@@ -139,3 +139,54 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN p USING (r) LEFT JOIN t USING (r)
 """
+
+
+def _merkle() -> str:
+    """Trees of up to eight levels a language and four above them, level by level; DuckDB lists from 1."""
+    field = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR END"
+    row = lambda text: "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    with_queries = [f"""
+d AS (
+    SELECT doc_id, lang, {row('text')} AS leaf, {row('low')} AS changed
+    FROM (SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents)
+)""", """
+b AS (SELECT b, list_reduce([b::BIGINT] || [0::BIGINT for i in range(8)], lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS t FROM range(256) AS r(b))""", """
+k AS (SELECT list(t ORDER BY b) AS t FROM b)""", """
+t0 AS (
+    SELECT doc_id, leaf, changed, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, row_number() OVER (PARTITION BY lang ORDER BY doc_id, leaf) - 1 AS idx,
+           xor(4294967295, list_reduce([4294967295::BIGINT] || [ascii(c)::BIGINT for c in string_split(doc_id::VARCHAR, '')], lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) AS crc
+    FROM d, k
+)""", """
+c0 AS (SELECT doc_id, leaf, tree, idx, CASE WHEN crc % 3 = 0 THEN changed ELSE leaf END AS folded, '' AS proof FROM t0)""", """
+n0 AS (SELECT tree, idx, leaf AS digest, count(*) OVER (PARTITION BY tree) AS n FROM t0)"""]
+    lower, upper = 8, 4
+    climbed = "doc_id, leaf, "
+    for k in range(lower + upper):
+        if k == lower:
+            with_queries.append(f"""
+s AS (SELECT tree AS lang_tree, digest AS subroot FROM n{k})""")
+            with_queries.append(f"""
+m{k} AS (SELECT 0 AS tree, tree AS idx, digest, count(*) OVER () AS n FROM n{k})""")
+            with_queries.append(f"""
+e{k} AS (SELECT doc_id, leaf, subroot, 0 AS tree, tree AS idx, folded, proof FROM c{k} JOIN s ON tree = lang_tree)""")
+            climbed = "doc_id, leaf, subroot, "
+        nodes, leaves = (f"m{k}", f"e{k}") if k == lower else (f"n{k}", f"c{k}")
+        with_queries.append(f"""
+r{k} AS (SELECT tree, idx // 8 AS run, any_value(n) AS n, list(digest ORDER BY idx) AS run_digests FROM {nodes} GROUP BY tree, idx // 8)""")
+        with_queries.append(f"""
+n{k + 1} AS (SELECT tree, run AS idx, CASE WHEN n = 1 THEN run_digests[1] ELSE sha256(array_to_string(run_digests, '')) END AS digest, (n + 7) // 8 AS n FROM r{k})""")
+        left, right = "array_to_string(run_digests[1:(idx % 8)], '')", "array_to_string(run_digests[(idx % 8) + 2:], '')"
+        with_queries.append(f"""
+c{k + 1} AS (
+    SELECT {climbed}tree, idx // 8 AS idx, CASE WHEN n = 1 THEN folded ELSE sha256({left} || folded || {right}) END AS folded,
+           CASE WHEN n = 1 THEN proof ELSE proof || {left} || {right} END AS proof
+    FROM {leaves} JOIN r{k} USING (tree) WHERE idx // 8 = run
+)""")
+    last = lower + upper
+    return "WITH" + ",".join(with_queries) + f"""
+SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = digest AS verified
+FROM c{last}, n{last}
+"""
+
+
+ORACLES["op12_merkle"] = _merkle()

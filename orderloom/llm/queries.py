@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderloom.llm import chat, decontaminate, exact, langid, lines, mixing, packing, repetition, secrets, simhash, warc
+from orderloom.llm import chat, decontaminate, exact, langid, lines, merkle, mixing, packing, repetition, secrets, simhash, warc
 from orderloom.llm.stages import stage
 from orderloom.session import shared_path
 
@@ -107,10 +107,14 @@ def op11_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op12_merkle(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.document_manifest(_table(spark, sf, "documents"))
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (op1_packing, op2_secrets, op3_simhash, op4_exact, op5_warc, op6_lines, op7_language, op8_chat, op9_mixing, op10_repetition,
-              op11_decontamination)
+              op11_decontamination, op12_merkle)
 }
