@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderloom.llm import chat, decontaminate, exact, langid, lines, merkle, mixing, packing, repetition, secrets, simhash, warc
+from orderloom.llm import alignment, chat, decontaminate, exact, langid, lines, merkle, mixing, packing, repetition, secrets, simhash, warc
 from orderloom.llm.stages import stage
 from orderloom.session import shared_path
 
@@ -17,10 +17,10 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
@@ -111,10 +111,15 @@ def op12_merkle(spark: SparkSession, sf: str) -> DataFrame:
     return merkle.document_manifest(_table(spark, sf, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    paths = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    return alignment.align_documents(_table(spark, sf, "documents"), *paths)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (op1_packing, op2_secrets, op3_simhash, op4_exact, op5_warc, op6_lines, op7_language, op8_chat, op9_mixing, op10_repetition,
-              op11_decontamination, op12_merkle)
+              op11_decontamination, op12_merkle, op13_alignment)
 }
