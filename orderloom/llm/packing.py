@@ -46,7 +46,8 @@ class WordIds(dict):
             tokens = self.tokenizer.model.tokenize("".join([self.shown[b] for b in word]))
             return np.array([t.id for t in tokens], "<u4").tobytes()
         stem = text.rstrip(_MARKS)
-        if stem and stem != text and stem.isalpha():
+        # As the vocabulary sees it: a letter that turns into one with a mark of its own would join those behind it.
+        if stem and stem != text and stem.isalpha() and unicodedata.normalize("NFC", stem).lower().isalpha():
             cut = len(stem.encode())
             return self[word[:cut]] + self[word[cut:]]
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()

@@ -130,3 +130,18 @@ def test_many_short_texts_take_bounded_memory(text):
             assert offset == at
             at += length
         assert at <= packing.CAPACITY
+
+
+def test_every_letter_before_a_mark_is_encoded_like_the_tokenizer():
+    import sys
+
+    from orderloom.llm.packing import WordIds
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path()
+    plain, words = Tokenizer.from_file(path), WordIds(path)
+    made = [c + m for c in map(chr, range(128, sys.maxunicode + 1)) if c.isalpha() for m in (".", "a,")]
+    made += ["BELEDİYESİ.", "HAKKARİ, VAN", "aİ!!", "क़.", "İ.İ,"]
+    want = plain.encode_batch(made, add_special_tokens=False)
+    wrong = [t for t, w in zip(made, want) if words.ids(t) != np.array(w.ids, "<u4").tobytes()]
+    assert wrong == []
