@@ -91,30 +91,65 @@ def write_archives(
 ) -> None:
     """Write one record per page, and its continuations, as gzip WARC files in ``path``.
 
-    Of equal payloads of ``revisit_bytes`` or more the page with the largest id is
-    written, the others revisit it. Payloads (null: empty) are framed as chunked HTTP and
-    cut at ``segment_bytes``. Rows of one page id and payload are one record; a null id is
-    written without a number. Spark's text writer writes the files, so any store works.
+    Of equal payloads of ``revisit_bytes`` or more a row with the largest id is written,
+    the others revisit it. Payloads (null: empty) are framed as chunked HTTP and cut at
+    ``segment_bytes``. A null id is written without a number and counts as the smallest.
+    Rows that repeat an id and payload are records of their own, with a number in the
+    record's id; such rows go to a table without their payloads first, so that the numbers
+    stay when a task runs again. Spark's text writer writes the files, so any store works.
     """
     payload = F.coalesce(F.col(body_col), F.lit("")).cast("binary")
     own = F.concat(F.lit("<urn:page:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), F.sha1(payload), F.lit(">"))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload"), F.sha1(payload).alias("digest"), own.alias("own"))
-    large = stage(rows.where(F.octet_length("payload") >= revisit_bytes).select("id", "digest", "own"), "payloads")
-    # No id is the smallest; of one id per digest there is one record.
-    groups = stage(large.groupBy("digest").agg(F.max("id").alias("top"), F.max(F.struct("id", "own"))["own"].alias("target"), F.count("*").alias("n")), "groups")
-    revisits = attach(large, groups, "digest", "n").where("own <> target").select("own", "target").distinct()
-    decided = rows.join(revisits, "own", "left").dropDuplicates(["own"])
+    large = F.octet_length("payload") >= revisit_bytes
+    keys = stage(rows.groupBy("id", "digest", "own", large.alias("large")).agg(F.count("*").alias("times")), "payloads")
+    # No id is the smallest.
+    groups = stage(keys.where("large").groupBy("digest").agg(F.max(F.struct("id", "own"))["own"].alias("target"), F.count("*").alias("n")), "groups")
+    revisits = attach(keys.where("large"), groups, "digest", "n").where("own <> target").select("own", "target")
+    odd = keys.join(revisits, "own", "left").where("target IS NOT NULL OR times > 1").select(F.col("own").alias("odd_own"), "target", "large", "times")
+    odd = stage(odd, "decided")
     # A revisit carries no payload.
     lean = F.when(F.col("target").isNull(), F.col("payload"))
-    records = decided.select("own", "url", "digest", "target", lean.alias("payload")).mapInArrow(
-        lambda batches: _records(batches, segment_bytes), "record binary"
-    )
+    known = rows.join(odd, F.col("own") == F.col("odd_own"), "left")
+    once = known.where(F.coalesce("times", F.lit(1)) == 1).select("own", "url", "digest", "target", lean.alias("payload"))
+    records = once.unionByName(_repeats(rows, odd)).mapInArrow(lambda batches: _records(batches, segment_bytes), "record binary")
     (
         records.select(F.col("record").cast("string")).write.option("lineSep", "\r\n\r\n")
         .option("compression", "gzip").option("maxRecordsPerFile", file_records).text(path)
     )
 
 
+def _repeats(rows: DataFrame, odd: DataFrame) -> DataFrame:
+    """(own, url, digest, target, payload) of rows that repeat an id and payload, each with an own record id.
+
+    Small ones are responses. Of large ones the first keeps the plain record id, as a
+    response or revisit like a row that does not repeat; the others revisit what it does,
+    or else it.
+    """
+    again = odd.where("times > 1")
+    none = odd.sparkSession.createDataFrame([], "own string, url string, digest string, target string, payload binary")
+    if again.isEmpty():
+        return none
+    small = F.when(~F.col("large"), F.col("payload"))
+    copies = stage(
+        attach(rows, again.withColumnRenamed("odd_own", "own"), "own", "times").select("own", "url", "digest", "target", "large", small.alias("payload"))
+        .withColumn("number", F.monotonically_increasing_id()),
+        "repeats",
+    )
+    firsts = stage(copies.groupBy("own").agg(F.min("number").alias("first"), F.count("*").alias("n")), "firsts")
+    met = attach(copies, firsts, "own", "n")
+    first = F.col("number") == F.col("first")
+    numbered = F.concat(F.expr("substring(own, 1, length(own) - 1)"), F.lit(":"), F.col("number").cast("string"), F.lit(">"))
+    target = F.when(F.col("large"), F.coalesce("target", F.when(~first, F.col("own"))))
+    rest = met.where(~(first & F.col("large") & F.col("target").isNull())).select(
+        F.when(first, F.col("own")).otherwise(numbered).alias("own"), "url", "digest", target.alias("target"), "payload"
+    )
+    # The payload of each large response comes once, from any of its rows: they are equal.
+    heads = met.where(first & F.col("large") & F.col("target").isNull()).select("own", "url", "digest")
+    bodies = rows.select("own", "payload").join(heads.select("own"), "own", "left_semi").dropDuplicates(["own"])
+    return rest.unionByName(heads.join(bodies, "own").select("own", "url", "digest", F.lit(None).cast("string").alias("target"), "payload"))
+
+
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(header fields in lower case, block) of every record in a WARC file's bytes."""
     at = 0

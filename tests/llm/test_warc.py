@@ -70,7 +70,33 @@ def test_empty_null_ids_and_repeats(spark):
     path = shared_path(spark, "warc")
     warc.write_archives(spark.createDataFrame([(None, None, "q" * 2000), (1, "u", "q" * 2000), (1, "u", "q" * 2000)], PAGES), path)
     got = sorted((str(r["page_id"]), r["record_type"], r["refers_to"]) for r in warc.page_records(spark, path).collect())
-    assert got == [("1", "response", None), ("None", "revisit", 1)]
+    assert got == [("1", "response", None), ("1", "revisit", 1), ("None", "revisit", 1)]
+
+
+def test_every_row_is_a_record(spark):
+    """Repeated rows, and rows without an id, of large and small payloads."""
+    large, other, small = "q" * 2000, "r" * 1500, "s" * 300
+    rows = [
+        *[(1, "u", large)] * 2, *[(None, f"n{i}", large) for i in range(3)], *[(None, None, small)] * 3, *[(2, "v", small)] * 2, (2, "w", small),
+        *[(None, "x", other)] * 2, (7, "y", large), (3, "z", None), (3, "z", ""),
+    ]
+    path = shared_path(spark, "warc")
+    warc.write_archives(spark.createDataFrame(rows, PAGES), path)
+    got = sorted((str(r["page_id"]), r["payload_bytes"], r["record_type"], r["refers_to"]) for r in warc.page_records(spark, path).collect())
+    want = [("1", 2000, "revisit", 7)] * 2 + [("2", 300, "response", None)] * 3 + [("3", 0, "response", None)] * 2 + [("7", 2000, "response", None)]
+    want += [("None", 300, "response", None)] * 3 + [("None", 1500, "response", None), ("None", 1500, "revisit", None)] + [("None", 2000, "revisit", 7)] * 3
+    assert got == sorted(want, key=lambda r: (r[0], r[1], r[2]))
+    origins = [r["origin"] for r in warc.read_records(spark, path).collect()]
+    assert len(origins) == len(set(origins)) == len(rows)
+
+
+def test_clashing_columns(spark):
+    from pyspark.sql import functions as F
+
+    df, rows = pages(spark)
+    path = shared_path(spark, "warc")
+    warc.write_archives(df.withColumns({c: F.lit("x") for c in ("id", "payload", "digest", "own", "target", "times", "n", "large")}), path)
+    assert {tuple(r) for r in warc.page_records(spark, path).collect()} == brute(rows)
 
 
 def test_chunks():
