@@ -122,12 +122,14 @@ def links(fingerprints: DataFrame, fp: str = "fp", long_list: int = LONG_LIST) -
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", fp: str = "fp", long_list: int = LONG_LIST) -> DataFrame:
-    """One row per document: (id, fp, component_id, component_size).
+    """One row per document: (id, fp, component_id, component_size, keeper_fp).
 
     ``docs`` holds ids and signed fingerprints and should be a stage table. Documents of
     equal fingerprint are one node from the start, so copies are never paired. The
     component id is the smallest document id reachable; an id that is null is never the
-    smallest unless it is alone. Rows with a null fingerprint are left out.
+    smallest unless it is alone. ``keeper_fp`` is the smallest fingerprint that has the
+    component id, so id and fingerprint together name one text of a component, without ids
+    too. Rows with a null fingerprint are left out.
     """
     groups = stage(
         docs.where(F.col(fp).isNotNull()).groupBy(F.col(fp).alias("fp"))
@@ -136,7 +138,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", fp: str = "fp", lon
     )
     roots = components(links(groups, "fp", long_list), "a", "b")
     rooted = groups.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    whole = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"), F.sum("n_same").alias("component_size"))
-    labelled = stage(rooted.join(whole, "root").select("fp", "component_id", "component_size", "n_same"), "labels")
+    first = F.min(F.struct(F.col("first_id").isNull().alias("without"), "first_id", "fp"))
+    whole = rooted.groupBy("root").agg(first.alias("first"), F.sum("n_same").alias("component_size"))
+    found = rooted.join(whole, "root").select("fp", F.col("first.first_id").alias("component_id"), "component_size", F.col("first.fp").alias("keeper_fp"), "n_same")
+    labelled = stage(found, "labels")
     rows = docs.select(F.col(id_col), F.col(fp).alias("fp"))
     return attach(rows, labelled, "fp", "n_same").drop("n_same")
