@@ -80,3 +80,30 @@ def test_stages_take_odd_and_empty_tables(spark, folder):
             docs = stage(function(spark, docs, folder), name)
         left = Counter(docs.where("start = 0").select("doc_id").toPandas()["doc_id"])
     assert not left
+
+
+CLASHING = ("score", "lang_pred", "mix_note", "mix_size", "own_text", "own_fp", "own_id", "fp", "id", "tokens", "row", "guess", "kept_id", "digest")
+
+
+def test_columns_of_other_names_come_out_unchanged(spark, folder):
+    from pyspark.sql import functions as F
+
+    rows = [(i, f"plain words of text number {i} which differ from others by their number {i * 7919} and so on", "en", f"s{i % 2}", i) for i in range(30)]
+    docs = documents(spark, rows).withColumns({c: F.col("n_chars") + i + 0.5 for i, c in enumerate(CLASHING)})
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        after = stage(function(spark, docs, folder), name)
+        assert after.columns == docs.columns
+        got = after.collect()
+        assert got and all(r[c] == r["n_chars"] + i + 0.5 for r in got for i, c in enumerate(CLASHING)), name
+        docs = after
+
+
+def test_near_copies_without_ids_keep_one_of_each_group(spark, folder):
+    words = [f"w{i}" for i in range(400)]
+    near = [" ".join(words), " ".join([*words[:399], "other"]), " ".join(["first", *words[1:]])]
+    far = " ".join(f"v{i}" for i in range(300))
+    rows = [(None, t, "en", "s", 0) for t in [*near, *near, far]] + [(7, f"x{'y' * 40} " * 50, "en", "s", 0)] * 2
+    fingerprints = {slow_fingerprint(t) for t in near}
+    assert len(fingerprints) > 1 and len(set(slow_components(dict(enumerate(slow_fingerprint(t) for t in [*near, far]))).values())) == 2
+    after = corpus_pipeline.drop_near_copies(spark, documents(spark, rows), folder).collect()
+    assert len(after) == 3 and sum(r["text"] in near for r in after) == 1 and sum(r["doc_id"] == 7 for r in after) == 1
