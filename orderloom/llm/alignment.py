@@ -14,12 +14,13 @@ from orderloom.llm.stages import attach, stage
 
 #: A blank between two characters that are no white space: both tokenizers end a token before it.
 _CUT = re.compile(r"(?<=\S)(?= \S)")
-#: Units remembered per Python worker, none longer than so many characters.
-CACHE_UNITS = 150_000
+#: Units remembered per Python worker; beyond it the half that is used most stays, without
+#: units of more than so many characters.
+CACHE_UNITS = 100_000
 CACHE_CHARS = 24
 #: Characters of text aligned at a time, and units tokenised in one call.
-BATCH_CHARS = 1 << 21
-CALL_UNITS = 10_000
+BATCH_CHARS = 1 << 20
+CALL_UNITS = 5_000
 #: Up to this many id pairs, 16 bytes each, their counts are broadcast.
 BROADCAST_PAIRS = 2_000_000
 _TEXTS = (
@@ -64,36 +65,60 @@ class Aligner:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_MARK, " ").encode() for i, p in enumerate(pieces)]
         self.a_size = np.array([len(t) for t in self.a_bytes])
         self.b_size = np.array([len(t) for t in self.b_bytes])
+        self.most = max(len(self.a_bytes), len(self.b_bytes))
+        self.signed = [b"%d%c" % (i, sign) for sign in b",|;" for i in range(self.most)]
         self.cuts = not any(re.search(f"[^{_MARK}]{_MARK}", p) for p in pieces)
         self.forget()
 
     def forget(self) -> None:
-        """Start again without any unit."""
+        """Start again without any unit. Units have numbers in the order of ``number``."""
         self.number: dict[str, int] = {}
+        self.chars = 0
         self.groups: list[bytes] = []
         self.wrong: dict[int, tuple[bytes, bytes]] = {}
+        self.uses = np.zeros(0, np.int64)
         self.counts = np.zeros((0, 4), np.int64)
         self.pairs = np.zeros(0, np.int64)
         self.ends = np.zeros(1, np.int64)
 
+    def _links(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(how many links each unit has, the places of all of them in ``pairs``)."""
+        many = self.ends[ids + 1] - self.ends[ids]
+        return many, np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(self.ends[ids], many)
+
+    def _shrink(self) -> None:
+        """Keep the units used most, at most half as many as may be remembered."""
+        units, least = list(self.number), 2
+        while (self.uses >= least).sum() > CACHE_UNITS // 2:
+            least += 1
+        stay = [i for i in np.flatnonzero(self.uses >= least).tolist() if len(units[i]) <= CACHE_CHARS and i not in self.wrong]
+        ids = np.array(stay, np.int64)
+        many, place = self._links(ids)
+        kept, groups, uses, counts, pairs = [units[i] for i in stay], [self.groups[i] for i in stay], self.uses[ids] // 2, self.counts[ids], self.pairs[place]
+        self.forget()
+        self.number, self.groups, self.uses, self.counts, self.pairs = dict(zip(kept, range(len(kept)))), groups, uses, counts, pairs
+        self.chars, self.ends = sum(map(len, kept)), np.concatenate([self.ends, np.cumsum(many)])
+
     def units(self, text: str) -> list[str]:
         return _CUT.split(" " + text) if self.cuts else [" " + text]
 
     def _add(self, units: list[str]) -> None:
         """Tokenise and align new units, all in one row of bytes."""
         own = [u.encode() for u in units]
-        ids = [e.ids for e in self.a.encode_batch(units, add_special_tokens=False)], self.b.encode([u[1:] for u in units], num_threads=1)
+        ids = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)], self.b.encode([u[1:] for u in units], num_threads=1)
         size = np.array([len(u) for u in own])
         good = np.ones(len(units), bool)
-        for i in range(len(units)):
-            a, b = (b"".join(map(table.__getitem__, side[i])) for table, side in ((self.a_bytes, ids[0]), (self.b_bytes, ids[1])))
-            if a != own[i] or b != own[i]:
-                good[i] = False
-                self.wrong[len(self.groups) + i] = (a, b)
+        sides = list(zip(ids, (self.a_bytes, self.b_bytes)))
+        if any(b"".join([table[t] for x in side for t in x]) != b"".join(own) for side, table in sides):
+            for i in range(len(units)):
+                a, b = (b"".join([table[t] for t in side[i]]) for side, table in sides)
+                if a != own[i] or b != own[i]:
+                    good[i] = False
+                    self.wrong[len(self.groups) + i] = (a, b)
         which = np.flatnonzero(good)
-        kept = [[side[i] for i in which] for side in ids]
+        kept = [[side[i] for i in which.tolist()] for side in ids]
         numbers = [np.array([len(x) for x in side], np.int64) for side in kept]
-        flat = [np.fromiter((t for x in side for t in x), np.int64) for side in kept]
+        flat = [np.array([t for x in side for t in x], np.int64) for side in kept]
         a_end, b_end = np.cumsum(self.a_size[flat[0]]), np.cumsum(self.b_size[flat[1]])
         a_start, b_start = a_end - self.a_size[flat[0]], b_end - self.b_size[flat[1]]
         both = np.intersect1d(a_end, b_end, assume_unique=True)
@@ -109,14 +134,18 @@ class Aligner:
         groups = np.diff(np.searchsorted(both, unit_ends, "right"), prepend=0)
         counts = np.zeros((len(units), 4), np.int64)
         counts[which] = np.stack([numbers[0], numbers[1], groups, links], 1)
-        said = [list(map(str, side.tolist())) for side in flat]
-        a_cut, b_cut = np.searchsorted(a_end, both, "right").tolist(), np.searchsorted(b_end, both, "right").tolist()
-        written = [",".join(said[0][i:j]) + "|" + ",".join(said[1][k:m]) for i, j, k, m in zip([0, *a_cut], a_cut, [0, *b_cut], b_cut)]
+        # Tokens by group, those of the first tokenizer ahead, each with the sign that follows it.
+        of_group = [np.searchsorted(both, end) for end in (a_end, b_end)]
+        order = np.argsort(np.concatenate([2 * of_group[0], 2 * of_group[1] + 1]), kind="stable")
+        last = [np.diff(g, append=-1) != 0 for g in of_group]
+        signed = np.concatenate([flat[0] + self.most * last[0], flat[1] + 2 * self.most * last[1]])[order]
+        written = [self.signed[c] for c in signed.tolist()]
         at, texts = 0, [b""] * len(units)
-        for i, n in zip(which.tolist(), groups.tolist()):
-            texts[i] = ";".join(written[at : at + n]).encode()
+        for i, n in zip(which.tolist(), (numbers[0] + numbers[1]).tolist()):
+            texts[i] = b"".join(written[at : at + n])[:-1]
             at += n
         self.groups += texts
+        self.uses = np.concatenate([self.uses, np.zeros(len(units), np.int64)])
         self.counts = np.concatenate([self.counts, counts])
         self.pairs = np.concatenate([self.pairs, codes])
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts[:, 3])])
@@ -128,6 +157,7 @@ class Aligner:
         for at in range(0, len(missing), CALL_UNITS):
             some = missing[at : at + CALL_UNITS]
             self.number.update(zip(some, range(len(self.groups), len(self.groups) + len(some))))
+            self.chars += sum(map(len, some))
             self._add(some)
         for text, own in zip(texts, split):
             ids = np.fromiter(map(self.number.__getitem__, own), np.int64, len(own))
@@ -139,20 +169,13 @@ class Aligner:
                 raise ValueError("units with other bytes than their text that add up to it")
             digest = hashlib.sha256(b";".join([self.groups[i] for i in ids.tolist()])).hexdigest()
             units, often = np.unique(ids, return_counts=True)
-            many = self.ends[units + 1] - self.ends[units]
-            place = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(self.ends[units], many)
+            self.uses[units] += often
+            many, place = self._links(units)
             pairs, back = np.unique(self.pairs[place], return_inverse=True)
             times = np.bincount(back, np.repeat(often, many), minlength=len(pairs)).astype(np.int32)
             yield *self.counts[ids].sum(0).tolist(), digest, pairs, times
-        if len(self.number) > CACHE_UNITS:
-            self.forget()
-        else:
-            self._drop_long()
-
-    def _drop_long(self) -> None:
-        """Long units seldom come back; if they hold much, start again."""
-        if sum(len(u) for u in self.number) > CACHE_UNITS * CACHE_CHARS:
-            self.forget()
+        if len(self.number) > CACHE_UNITS or self.chars > CACHE_UNITS * CACHE_CHARS:
+            self._shrink()
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
