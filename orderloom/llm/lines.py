@@ -26,8 +26,9 @@ _LAST_ID = (1 << 63) - 1
 
 
 def normalised(line: Column) -> Column:
-    """A line with runs of ASCII white space as one space, none at the ends."""
-    return F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))
+    """A line with runs of ASCII white space as one space, none at the ends; most lines have no such run."""
+    runs = line.rlike(r"[\x09-\x0D]|\x20\x20")
+    return F.trim(F.when(runs, F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")).otherwise(line))
 
 
 def split_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -124,16 +125,17 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         before, _, after = _without(F.col("norm"), F.lit(extra), F.lit(part), 2)
         return F.when(size - extra >= near_chars, F.xxhash64(size - extra, F.lit(part), before, after))
 
-    keyed = lines.select("at", *_ID, *[half(e, p).alias(f"v{2 * e + p}") for e in (0, 1) for p in (0, 1)])
+    # One pass over the texts makes the places of all lines and their hashes.
+    halves = [half(e, p).alias(f"v{2 * e + p}") for e in (0, 1) for p in (0, 1)]
+    places = stage(lines.select("id", "line_no", "at", *_ID, *halves), "places")
     distinct = stage(
-        keyed.groupBy(*_ID).agg(F.min("at").alias("first"), F.count("*").alias("n"), *[F.max(f"v{i}").alias(f"v{i}") for i in range(4)]), "lines"
+        places.groupBy(*_ID).agg(F.min("at").alias("first"), F.count("*").alias("n"), *[F.max(f"v{i}").alias(f"v{i}") for i in range(4)]), "lines"
     )
     near = near_lines(lines, distinct)
     groups = stage(
         distinct.join(near, _ID, "left").where("n > 1 or near is not null").select(*_ID, "first", "n", F.least("first", "near").alias("keep")), "groups"
     )
-    places = stage(lines.select("id", "line_no", "at", *_ID), "places")
-    gone = attach(places, groups, _ID, "n").where("at > keep")
+    gone = attach(places.select("id", "line_no", "at", *_ID), groups, _ID, "n").where("at > keep")
     unit = F.lit(_LINES).cast("decimal(10,0)")
     keep_line = F.pmod(F.col("keep"), unit)
     keep_id = ((F.col("keep") - keep_line) / unit).cast("decimal(20,0)").cast("bigint")
