@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orderloom.llm.ascii import ascii_lower
-from orderloom.llm.stages import stage
+from orderloom.llm.stages import discard, stage
 from orderloom.operators.ranks import numbered
 
 FANOUT = 8
@@ -80,26 +81,33 @@ WITH RECURSIVE climb AS (
     SELECT c.tree, c.idx, c.step + 1, n.parent_tree, n.parent_level, n.parent_idx, n.place,
            unhex(sha2(lower(hex(concat(substring(n.children, 1, 32 * c.place), c.folded, substring(n.children, 32 * c.place + 33)))), 256)),
            concat(substring(n.children, 1, 32 * c.place), substring(n.children, 32 * c.place + 33)),
-           CASE WHEN n.is_subroot THEN n.digest ELSE c.subroot END
+           CASE WHEN n.is_subroot THEN unhex(n.digest) END
     FROM climb AS c JOIN {nodes} AS n
       ON c.parent_tree = n.tree AND c.parent_level = n.level AND c.parent_idx = n.idx
 )
 SELECT * FROM climb
 """
 _ROW_LIMIT = "spark.sql.cteRecursionRowLimit"
+_AT = ("parent_tree", "parent_level", "parent_idx", "place", "folded")
 
 
 def ascend(start: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Every step of every leaf from ``start`` up through ``nodes``, as a stage table.
+    """Every step of every leaf from ``start`` up through ``nodes``; to be used in ``unlimited``.
 
-    One row a step: the siblings met there, in order, and the hash folded so far. The
-    query stops by itself where no leaf finds a parent in ``nodes``.
+    One row a step: the siblings met there, in order, the hash folded so far, and the
+    digest of a subroot that was reached. The rows of ``start`` come as well, without
+    siblings. The query stops by itself where no leaf finds a parent in ``nodes``.
     """
-    spark = start.sparkSession
+    return start.sparkSession.sql(_CLIMB, start=start, nodes=nodes)
+
+
+@contextmanager
+def unlimited(spark: SparkSession) -> Iterator[None]:
+    """Jobs in this block run recursive queries of any number of rows."""
     before = spark.conf.get(_ROW_LIMIT, None)
     spark.conf.set(_ROW_LIMIT, "-1")
     try:
-        return stage(spark.sql(_CLIMB, start=start, nodes=nodes), "climb")
+        yield
     finally:
         spark.conf.unset(_ROW_LIMIT) if before is None else spark.conf.set(_ROW_LIMIT, before)
 
@@ -150,32 +158,38 @@ def proofs(
         empty = leaves.select(*keep, "leaf")
         return empty.select("*", *[F.lit("").alias(c) for c in ("subroot", "root", "proof_sha256", "folded_root")], F.lit(True).alias("verified"))
     start = _linked(leaves, groups, fanout).select(
-        "tree", "idx", F.lit(0).alias("step"), "parent_tree", "parent_level", "parent_idx", "place",
-        F.unhex("tampered").alias("folded"), F.unhex(F.lit("")).alias("siblings"),
-        F.when(F.col("is_subroot"), F.col("leaf")).alias("subroot"),
+        "tree", "idx", F.lit(0).alias("step"), *_AT[:4], F.unhex("tampered").alias("folded"),
+        F.lit(None).cast("binary").alias("siblings"), F.lit(None).cast("binary").alias("subroot"),
     )
-    steps = start
-    if levels:
-        nodes = levels[0]
-        for level in levels[1:]:
-            nodes = nodes.unionByName(level)
-        linked = stage(_linked(nodes, groups, fanout), "linked")
-        count = leaves.agg(F.sum("weight")).first()[0]
-        heavy = F.col("weight") * heavy_share >= count
-        steps = ascend(start, linked.where(~heavy))
-        last = steps.groupBy("tree", "idx").agg(F.max(F.struct(*[c for c in steps.columns if c not in ("tree", "idx", "siblings")])).alias("at"))
-        onward = stage(last.select("tree", "idx", "at.*").withColumn("siblings", F.unhex(F.lit(""))).select(*steps.columns), "onward")
-        upper = ascend(onward, F.broadcast(linked.where(heavy)))
-        steps = steps.unionByName(upper.join(onward.select("tree", "idx", "step"), ["tree", "idx", "step"], "left_anti"))
-    ordered = F.array_sort(F.collect_list(F.struct("step", "siblings")))
-    folded = steps.groupBy("tree", "idx").agg(
-        ordered.alias("steps"), F.max(F.struct("step", "folded"))["folded"].alias("folded"), F.max("subroot").alias("subroot")
-    ).select(
-        "tree", "idx", "subroot", F.lower(F.hex("folded")).alias("folded_root"),
-        F.sha2(F.array_join(F.transform("steps", lambda s: F.lower(F.hex(s["siblings"]))), ""), 256).alias("proof_sha256"),
-    )
-    return leaves.select(*keep, "leaf", "tree", "idx").join(folded, ["tree", "idx"]).select(
-        *keep, "leaf", "subroot", F.lit(root).alias("root"), "proof_sha256", "folded_root", (F.col("folded_root") == F.lit(root)).alias("verified")
+    nodes = leaves.where("false").select(*_NODE, F.lit(None).cast("binary").alias("children"))
+    for level in levels:
+        nodes = nodes.unionByName(level)
+    linked = stage(_linked(nodes, groups, fanout), "linked")
+    count = leaves.agg(F.sum("weight")).first()[0]
+    heavy = F.col("weight") * heavy_share >= count
+    with unlimited(leaves.sparkSession):
+        # Light nodes are no bounded table, so they are not left to a guess of their size.
+        lower = stage(ascend(start, linked.where(~heavy).hint("merge")), "climb")
+        last = lower.groupBy("tree", "idx").agg(F.max(F.struct("step", *_AT)).alias("at")).select("tree", "idx", "at.*")
+        onward = stage(last.select("*", F.lit(None).cast("binary").alias("siblings"), F.lit(None).cast("binary").alias("subroot")), "onward")
+        steps = lower.unionByName(ascend(onward, F.broadcast(linked.where(heavy)))).where("siblings IS NOT NULL")
+        folded = stage(
+            # Steps of a leaf come from different tasks, so there is nothing to combine ahead of the shuffle.
+            steps.repartition("tree", "idx").groupBy("tree", "idx").agg(
+                F.array_sort(F.collect_list(F.struct("step", "siblings"))).alias("steps"),
+                F.max(F.struct("step", "folded"))["folded"].alias("folded"), F.max("subroot").alias("subroot"),
+            ).select(
+                "tree", "idx", F.lower(F.hex("subroot")).alias("subroot"), F.lower(F.hex("folded")).alias("folded_root"),
+                F.sha2(F.array_join(F.transform("steps", lambda s: F.lower(F.hex(s["siblings"]))), ""), 256).alias("proof_sha256"),
+            ), "proofs",
+        )
+    for table in (lower, onward):
+        discard(table)
+    own = leaves.select(*keep, "leaf", "tampered", "tree", "idx").join(folded.hint("merge"), ["tree", "idx"], "left")
+    reached = F.coalesce("folded_root", "tampered")
+    return own.select(
+        *keep, "leaf", F.coalesce("subroot", "leaf").alias("subroot"), F.lit(root).alias("root"),
+        F.coalesce("proof_sha256", F.sha2(F.lit(""), 256)).alias("proof_sha256"), reached.alias("folded_root"), (reached == F.lit(root)).alias("verified"),
     )
 
 
