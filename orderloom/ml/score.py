@@ -21,7 +21,7 @@ from orderloom.ml.encode import (
 )
 from orderloom.ml.models import fit_tree
 from orderloom.ml.split import split_by_key
-from orderloom.operators.basetable import holdout_basetable, training_basetable
+from orderloom.operators.basetable import holdout_basetable, training_basetable, with_shared_items
 from orderloom.operators.clean import quoted
 from orderloom.operators.items import ItemStats, fit_item_stats
 from orderloom.operators.orders import HOLDOUT_WINDOW, TRAINING_WINDOW
@@ -64,6 +64,7 @@ def fit_with_test(
     Values are indexed over the whole base table, with a slot for others; the tree is
     fitted on the training side of the split by key.
     """
+    tables = with_shared_items(tables)
     stats = fit_item_stats(tables.order_items, tables.products)
     names = strong_columns(categories)
     base = training_basetable(tables, stats, window)

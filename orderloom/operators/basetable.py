@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import DataFrame, functions as F
 
 from orderloom.operators import clean
-from orderloom.operators.items import ItemStats, fit_item_stats, items_per_order, prepare_items
+from orderloom.operators.items import ItemStats, fit_item_stats, items_per_order, prepare_items, shared_items
 from orderloom.operators.orders import HOLDOUT_WINDOW, TRAINING_WINDOW, prepare_orders
 from orderloom.operators.payments import payments_per_order
 from orderloom.operators.reviews import TIES, newest_times, prepare_reviews_with_ties, timed_reviews
@@ -38,6 +38,11 @@ class OrderParts:
     rows_per_task: int = ROWS_PER_TASK
 
 
+def with_shared_items(tables: OrderTables) -> OrderTables:
+    """The tables with items as one bucketed table, from which statistics and parts are made."""
+    return replace(tables, order_items=shared_items(tables.order_items))
+
+
 def prepare_parts(
     tables: OrderTables,
     stats: ItemStats,
@@ -122,7 +127,9 @@ def training_basetable(
     unique_reviews: bool = False,
 ) -> DataFrame:
     """Base table of reviewed orders; statistics are fitted on the tables if not given."""
-    stats = stats or fit_item_stats(tables.order_items, tables.products)
+    if stats is None:
+        tables = with_shared_items(tables)
+        stats = fit_item_stats(tables.order_items, tables.products)
     parts = prepare_parts(tables, stats, window, convention, unique_reviews)
     return build_basetable(parts, drop_subset)
 
@@ -135,7 +142,7 @@ def holdout_basetable(
     convention: str = "shifted",
 ) -> DataFrame:
     """Base table of unreviewed orders, prepared with the training statistics."""
-    return build_basetable(prepare_parts(tables, stats, window, convention), drop_subset)
+    return build_basetable(prepare_parts(with_shared_items(tables), stats, window, convention), drop_subset)
 
 
 def incomplete_rows_count(joined: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orderloom.functions import money
+from orderloom.operators.clean import quoted
+from orderloom.session import bucketed_table
 from orderloom.sources.schemas import CATEGORY, PRODUCT_MEASURES
 
 AMOUNT_PREFIX = "total_amount_"
@@ -34,6 +36,16 @@ class ItemStats:
         return filled if self.mode is None else filled.na.fill(self.mode, subset=[CATEGORY])
 
 
+def shared_items(items: DataFrame) -> DataFrame:
+    """The distinct items as a table that is bucketed by order.
+
+    Everything an order's items are used for reads this table: dropping copies once more
+    and gathering by order need no exchange then, since equal rows and the rows of an
+    order lie in one bucket.
+    """
+    return bucketed_table(items.dropDuplicates(), "order_id", "items")
+
+
 def with_products(items: DataFrame, products: DataFrame) -> DataFrame:
     """Items with their product columns; items of unknown products stay."""
     return items.join(products, "product_id", "left")
@@ -124,19 +136,10 @@ def _terms(items_products: DataFrame) -> DataFrame:
     ).withColumn("amount", F.expr("sum_price + sum_shipping_cost"))
 
 
-def _order_sums(items_products: DataFrame, wide: bool = False) -> DataFrame:
-    """Counts and sums per order; with ``wide`` also a map from category to amount.
-
-    For the map, items are summed per order and category first. What then moves to its
-    order is narrow, at most one row per category.
-    """
-    rows = _terms(items_products)
+def _order_sums(rows: DataFrame) -> DataFrame:
+    """Counts and sums of the terms of an order's items."""
     sums = [F.sum(name).alias(name) for name in rows.columns if name not in ("order_id", "category", "amount")]
-    if not wide:
-        return rows.groupBy("order_id").agg(*sums)
-    per_category = rows.groupBy("order_id", "category").agg(*sums, F.sum("amount").alias("amount"))
-    entries = F.collect_list(F.when(F.col("category").isNotNull(), F.struct("category", "amount")))
-    return per_category.groupBy("order_id").agg(*sums, F.map_from_entries(entries).alias("amounts"))
+    return rows.groupBy("order_id").agg(*sums)
 
 
 def _costs() -> list[Column]:
@@ -152,12 +155,21 @@ def _costs() -> list[Column]:
     ]
 
 
-def _amounts(categories: Sequence[str]) -> list[Column]:
+def _wide(rows: DataFrame, categories: Sequence[str]) -> DataFrame:
+    """(order_id, amount per category): a pivot with a list of values, one slot for each.
+
+    Amounts are summed per order and category first, so what is put into slots is at most
+    one row for each category that an order has.
+    """
     names = unique_names([AMOUNT_PREFIX + name for name in categories])
-    return [
-        F.coalesce(F.col("amounts")[F.lit(category)].cast("double"), F.lit(0.0)).alias(name)
-        for category, name in zip(categories, names)
-    ]
+    if not categories:
+        return rows.select("order_id").distinct()
+    slots = rows.groupBy("order_id").pivot("category", list(categories)).agg(F.sum("amount"))
+    # By place: category names may differ in case alone, or clash with the key.
+    slots = slots.toDF("order_id", *[f"slot_{i}" for i in range(len(categories))])
+    return slots.select("order_id", *[
+        F.coalesce(F.col(f"slot_{i}").cast("double"), F.lit(0.0)).alias(name) for i, name in enumerate(names)
+    ])
 
 
 def unique_names(names: Sequence[str]) -> list[str]:
@@ -174,15 +186,23 @@ def unique_names(names: Sequence[str]) -> list[str]:
 
 
 def items_per_order(items_products: DataFrame, categories: Sequence[str]) -> DataFrame:
-    """Item count, totals, means and the amount per category, one row per order."""
-    sums = _order_sums(items_products, wide=True)
-    rows = sums.select("order_id", "total_items", *_costs(), *_amounts(categories))
-    return _with_total(rows)
+    """Item count, totals, means and the amount per category, one row per order.
+
+    Sums and category columns are two aggregates by order; on a table bucketed by order
+    neither needs an exchange, nor does joining them. Items without an order have no row.
+    """
+    rows = _terms(items_products).where("order_id IS NOT NULL")
+    sums = _order_sums(rows).select("order_id", "total_items", *_costs())
+    wide = _wide(rows, categories).withColumnRenamed("order_id", "wide_id")
+    order = [*sums.columns, *[c for c in wide.columns if c != "wide_id"]]
+    # Left, so that Spark leaves the pivot out where no category column is used.
+    met = sums.join(wide, F.col("order_id") == F.col("wide_id"), "left").select(*[F.col(quoted(c)) for c in order])
+    return _with_total(met)
 
 
 def category_amounts(items_products: DataFrame, categories: Sequence[str]) -> DataFrame:
     """Only the amount per category, one row per order and a column per category."""
-    return _order_sums(items_products, wide=True).select("order_id", *_amounts(categories))
+    return _wide(_terms(items_products), categories)
 
 
 def category_amounts_long(items_products: DataFrame) -> DataFrame:
@@ -193,12 +213,12 @@ def category_amounts_long(items_products: DataFrame) -> DataFrame:
 
 def order_costs(items_products: DataFrame) -> DataFrame:
     """Only totals and means, one row per order."""
-    return _with_total(_order_sums(items_products).select("order_id", *_costs()))
+    return _with_total(_order_sums(_terms(items_products)).select("order_id", *_costs()))
 
 
 def items_counted(items_products: DataFrame) -> DataFrame:
     """Only the item count, one row per order."""
-    return _order_sums(items_products).select("order_id", "total_items")
+    return _order_sums(_terms(items_products)).select("order_id", "total_items")
 
 
 def _with_total(rows: DataFrame) -> DataFrame:

@@ -63,3 +63,31 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = shared_path(df.sparkSession, "stage")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed_table(df: DataFrame, key: str, label: str, buckets: int | None = None) -> DataFrame:
+    """``df`` as a table in the shared folder, bucketed and sorted by ``key``.
+
+    What gathers or joins by the key reads it without an exchange. There are as many
+    buckets as shuffle partitions unless ``buckets`` says otherwise. The catalog gets an
+    entry of a new name; ``forget_tables`` takes such entries, and the files, away.
+    """
+    spark = df.sparkSession
+    path = shared_path(spark, label)
+    name = f"orderloom_{path.rsplit('/', 1)[1].replace('-', '_').replace('.', '_')}"
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(name)
+    _BUCKETED.append((name, path))
+    return spark.table(name)
+
+
+_BUCKETED: list[tuple[str, str]] = []
+
+
+def forget_tables(spark: SparkSession) -> None:
+    """Drop the bucketed tables of this process and delete their files."""
+    while _BUCKETED:
+        name, path = _BUCKETED.pop()
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
