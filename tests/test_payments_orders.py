@@ -30,6 +30,12 @@ def test_payment_facts(spark):
     ]
 
 
+def test_both_ways_to_gather_payments_agree(spark):
+    df = spark.createDataFrame([*PAYMENTS, (None, 1, "card", 1, 1.0), ("NA", 1, "card", 1, 2.0)], schemas.ORDER_PAYMENTS)
+    one, two = payments.payment_facts(df), payments.payment_facts(df, spread=True)
+    assert rows(one) == rows(two) and {r[0] for r in rows(one, "order_id")} == {"a", "b", "c"}
+
+
 def test_agreement(spark):
     df = spark.createDataFrame(PAYMENTS, schemas.ORDER_PAYMENTS)
     assert rows(payments.payment_agreement(df)) == [
