@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
+from orderloom.session import cut_lineage
+
 
 def area(
     scored: DataFrame,
@@ -52,34 +55,66 @@ def share(
 CURVE_RANGES = 1000
 
 
-def curves(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """(curve, threshold, x, y): the ROC and precision-recall points of every distinct score.
+def score_ranges(per_score: DataFrame, ranges: int = CURVE_RANGES) -> DataFrame:
+    """``per_score`` with ``place``: which of about ``ranges`` ranges, alike in rows, a threshold is in.
 
-    ``score`` lies between 0 and 1. Counts per score are summed from the highest down:
-    a thousand ranges first, then inside each range, so no task sees all scores.
+    Bounds are approximate quantiles, from sketches that are merged, so crowded scores get
+    narrow ranges. They are the one thing that comes to the driver.
     """
-    place = F.least(F.floor(F.col("threshold") * CURVE_RANGES), F.lit(CURVE_RANGES - 1)).alias("place")
-    per_score = scored.groupBy(F.col(score).alias("threshold")).agg(
-        F.sum(F.col(label).cast("bigint")).alias("pos"), F.count("*").alias("n")
-    ).select("threshold", "pos", (F.col("n") - F.col("pos")).alias("neg"), place)
+    wanted = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    bounds = per_score.agg(F.percentile_approx("threshold", wanted, F.lit(20 * ranges))).first()[0] or []
+    splits = [float("-inf"), *(sorted(set(bounds)) or [0.0]), float("inf")]
+    return Bucketizer(splits=splits, inputCol="threshold", outputCol="place").transform(per_score)
+
+
+def curve_points(scored: DataFrame, score: str = "score", label: str = "label", ranges: int = CURVE_RANGES) -> DataFrame:
+    """(threshold, pos, neg, tp, fp, all_pos, all_neg) of every distinct score, counted from the highest down.
+
+    Counts are summed over ranges of scores first, then inside each range, so no task
+    sees all scores. Rows without a score are left out.
+    """
+    per_score = cut_lineage(
+        scored.select(F.col(score).cast("double").alias("threshold"), F.col(label).cast("bigint").alias("own")).where("threshold IS NOT NULL")
+        .groupBy("threshold").agg(F.sum("own").alias("pos"), F.count("*").alias("n"))
+        .select("threshold", "pos", (F.col("n") - F.col("pos")).alias("neg"))
+    )
+    placed = score_ranges(per_score, ranges)
     inside = Window.partitionBy("place").orderBy(F.desc("threshold"))
     above = Window.orderBy(F.desc("place")).rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy()
-    ranges = per_score.groupBy("place").agg(F.sum("pos").alias("p"), F.sum("neg").alias("q")).select(
+    sums = placed.groupBy("place").agg(F.sum("pos").alias("p"), F.sum("neg").alias("q")).select(
         "place", F.coalesce(F.sum("p").over(above), F.lit(0)).alias("pos_above"),
         F.coalesce(F.sum("q").over(above), F.lit(0)).alias("neg_above"),
         F.sum("p").over(every).alias("all_pos"), F.sum("q").over(every).alias("all_neg"),
     )
-    points = per_score.join(ranges, "place").select(
-        "threshold", (F.col("pos_above") + F.sum("pos").over(inside)).alias("tp"),
+    return placed.join(F.broadcast(sums), "place").select(
+        "threshold", "pos", "neg", (F.col("pos_above") + F.sum("pos").over(inside)).alias("tp"),
         (F.col("neg_above") + F.sum("neg").over(inside)).alias("fp"), "all_pos", "all_neg",
     )
+
+
+def curves(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+    """(curve, threshold, x, y): the ROC and precision-recall points of every distinct score."""
+    points = curve_points(scored, score, label)
     rate = F.try_divide("tp", "all_pos")
     roc = points.select(F.lit("roc").alias("curve"), "threshold", F.try_divide("fp", "all_neg").alias("x"), rate.alias("y"))
     pr = points.select(F.lit("pr").alias("curve"), "threshold", rate.alias("x"), (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("y"))
     return roc.unionByName(pr)
 
 
+def rank_sum_area(scored: DataFrame, score: str = "score", label: str = "label") -> float:
+    """Area under the ROC curve as the rank sum of the positives, equal scores sharing a rank.
+
+    From the points of the curve: a positive beats the negatives below it and half of
+    those beside it. Whole numbers are summed, so nothing depends on the order of rows.
+    """
+    points = curve_points(scored, score, label)
+    big = lambda c: F.col(c).cast("decimal(18,0)")
+    beaten = big("pos") * (2 * (big("all_neg") - big("fp")) + big("neg"))
+    twice, pos, neg = points.agg(F.sum(beaten.cast("decimal(38,0)")), F.max("all_pos"), F.max("all_neg")).first()
+    return float(twice) / (2 * pos * neg) if pos and neg else 0.0
+
+
 def as_table(like: DataFrame, values: Mapping[str, float]) -> DataFrame:
     rows = [(name, float(value)) for name, value in values.items()]
     return like.sparkSession.createDataFrame(rows, "metric string, value double")

@@ -151,3 +151,38 @@ def test_holdout_scores(spark, folder):
     base = holdout_basetable(standin.holdout_tables(spark, folder), scorer.stats, standin.HOLDOUT)
     assert rows(scores, "order_id") == rows(base, "order_id")
     assert {r.prediction for r in scores.select("prediction").distinct().collect()} <= {0.0, 1.0}
+
+
+def test_crowded_scores_spread_over_ranges(spark):
+    """All scores within a thousandth of each other: ranges follow their quantiles."""
+    df = spark.range(0, 60_000, 1, 4).select((0.5 + F.col("id") / 60_000_000).alias("threshold"), (F.col("id") % 3 == 0).cast("int").alias("label"))
+    sizes = [r["count"] for r in metrics.score_ranges(df, 200).groupBy("place").count().collect()]
+    assert len(sizes) > 150 and max(sizes) < 2 * 60_000 / len(sizes)
+    points = metrics.curve_points(df, "threshold", ranges=200).orderBy(F.desc("threshold")).collect()
+    tp = fp = 0
+    for r in points[:2000] + points[-1:]:
+        assert r is points[-1] or (r["tp"], r["fp"]) == (tp := tp + r["pos"], fp := fp + r["neg"])
+    assert (points[-1]["tp"], points[-1]["fp"]) == (20_000, 40_000)
+
+
+def test_rank_sum_equals_the_evaluator(spark):
+    df = spark.range(3000).select((F.col("id") * 37 % 101 / 10).alias("score"), (F.col("id") * 13 % 7 < 3).cast("double").alias("label"))
+    assert abs(metrics.rank_sum_area(df) - metrics.area(df, score="score")) < 1e-12
+    one = df.where("label = 1.0")
+    assert metrics.rank_sum_area(one) == 0.0 and metrics.rank_sum_area(df.limit(0)) == 0.0
+
+
+def test_tables_of_folds_splits_and_equations(spark, signal):
+    fitted = models.cross_validate_tree(signal)
+    predictions = models.fold_predictions(fitted, signal)
+    assert predictions.count() == 2 * signal.count()
+    again = models.recomputed_averages(predictions)
+    assert all(abs(again[d] - a) < 1e-9 for d, a in zip(models.CV_DEPTHS, fitted.avgMetrics))
+    tree = models.fit_tree(signal)
+    splits = models.tree_splits(tree, signal)
+    own = {r["idx"]: r["score"] for r in models.importance_of_splits(splits).collect()}
+    assert all(abs(own.get(i, 0.0) - float(w)) < 1e-9 for i, w in enumerate(tree.featureImportances.toArray()))
+    root = splits.where("node = 0").first()
+    assert (root["name"], root["rows"]) == ("strong", 2000.0) and 8 <= root["threshold"] < 9
+    equations = models.score_equations(models.fit_logistic(signal, tol=1e-12, maxIter=200), signal).collect()
+    assert {r["name"] for r in equations} == {"intercept", "strong", "weak"} and all(abs(r["gradient"]) < 1e-6 for r in equations)
