@@ -57,9 +57,21 @@ def distinct_counts(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def approx_distinct_keys(df: DataFrame, key: str, rsd: float = 0.02) -> DataFrame:
-    """One row: an estimate of the number of keys, for tables too large to count exactly."""
-    return df.agg(F.approx_count_distinct(key, rsd).alias("distinct_keys"))
+#: Sketches of 2^14 registers are within 3 % of the exact count in all but one case in 10,000.
+SKETCH_BITS = 14
+
+
+def key_sketches(df: DataFrame, key: str, by: str, bits: int = SKETCH_BITS) -> DataFrame:
+    """(by, sketch): the keys of each part of a table, a day or a file, in a sketch of fixed size.
+
+    Sketches are stored and merged, so new parts need no second look at the old ones.
+    """
+    return df.groupBy(by).agg(F.hll_sketch_agg(F.col(quoted(key)).cast("string"), bits).alias("sketch"))
+
+
+def approx_distinct_keys(sketches: DataFrame) -> DataFrame:
+    """One row: the estimated number of different keys behind all sketches."""
+    return sketches.agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_keys"))
 
 
 def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -4,6 +4,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from orderloom.operators import profile
+from orderloom.session import cut_lineage
 
 
 def table(spark):
@@ -22,7 +23,17 @@ def test_null_counts_of_no_rows(spark):
 def test_distinct_counts(spark):
     assert rows(profile.distinct_counts(table(spark), "k")) == [(5, 4, 3)]
     assert rows(profile.distinct_counts(table(spark).limit(0), "k")) == [(0, 0, 0)]
-    assert rows(profile.approx_distinct_keys(table(spark), "k")) == [(2,)]
+    whole = table(spark).withColumn("part", F.lit(1))
+    assert rows(profile.approx_distinct_keys(profile.key_sketches(whole, "k", "part"))) == [(2,)]
+
+
+def test_merged_sketches_equal_one_pass(spark):
+    df = spark.range(0, 200_000, 1, 8).select((F.col("id") % 50_000).alias("k"), (F.col("id") * 7 % 31).alias("day"))
+    stored = cut_lineage(profile.key_sketches(df, "k", "day"))
+    merged = profile.approx_distinct_keys(stored).first()[0]
+    assert merged == profile.approx_distinct_keys(profile.key_sketches(df.withColumn("day", F.lit(0)), "k", "day")).first()[0]
+    assert abs(merged - 50_000) < 1_500
+    assert stored.agg(F.max(F.octet_length("sketch"))).first()[0] < 1 << 16
 
 
 def test_distinct_values(spark):
