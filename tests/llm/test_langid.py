@@ -70,3 +70,26 @@ def test_odd_texts_and_no_learning(spark):
 def test_ties_go_to_the_first_name(spark):
     same = langid.top(*langid.grams("abc")).tolist()
     assert langid.nearest("abc", *langid.ranks({"b": same, "a": same}))[0] == "a"
+
+
+def test_query_equals_brute_force(spark, folder):
+    """Profiles, out-of-place distances, choices and scores of every document, in plain Python."""
+    docs = [r for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    number = lambda g: sum(ord(c) << (21 * (len(g) - 1 - i)) for i, c in enumerate(g))
+    ranked = lambda counts: sorted(counts, key=lambda g: (-counts[g], number(g)))[: langid.PROFILE]
+    learned = {}
+    for r in docs:
+        if r["lang"] is not None and r["text"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5:
+            learned.setdefault(r["lang"], Counter()).update(slow_grams(r["text"]))
+    places = {lang: {g: i for i, g in enumerate(ranked(counts))} for lang, counts in sorted(learned.items())}
+    got = {r["doc_id"]: r for r in op7_language(spark, folder).collect()}
+    assert len(got) == len(docs)
+    for r in docs:
+        own = ranked(slow_grams(r["text"] or ""))
+        pred, score = got[r["doc_id"]]["lang_pred"], got[r["doc_id"]]["score"]
+        if not own:
+            assert (pred, score) == ("und", 0.0)
+            continue
+        apart = {lang: sum(abs(i - known[g]) if g in known else langid.PROFILE for i, g in enumerate(own)) for lang, known in places.items()}
+        best = min(apart, key=apart.get)
+        assert pred == best and abs(score - (1 - apart[best] / (langid.PROFILE * len(own)))) < 1e-12
