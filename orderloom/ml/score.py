@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassificationModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.ml.encode import (
     STRONG_CATEGORIES,
@@ -53,6 +54,23 @@ class Scorer:
         features = self.features(holdout_basetable(tables, self.stats, window))
         return self.tree.transform(features).select("order_id", "prediction")
 
+    def save(self, path: str) -> None:
+        """Write everything to a new folder: the statistics as text, encoder and tree as Spark stores models."""
+        spark = SparkSession.active()
+        told = json.dumps({"stats": asdict(self.stats), "categories": list(self.categories)})
+        spark.createDataFrame([(told,)], "value string").coalesce(1).write.text(f"{path}/statistics")
+        self.encoding.write().save(f"{path}/encoder")
+        self.tree.write().save(f"{path}/tree")
+
+
+def load_scorer(spark: SparkSession, path: str) -> Scorer:
+    """A scorer as it was saved, in any later session."""
+    told = json.loads(spark.read.text(f"{path}/statistics").first()["value"])
+    stats = {name: tuple(value) if isinstance(value, list) else value for name, value in told["stats"].items()}
+    return Scorer(
+        ItemStats(**stats), PipelineModel.load(f"{path}/encoder"), DecisionTreeClassificationModel.load(f"{path}/tree"), tuple(told["categories"])
+    )
+
 
 def fit_with_test(
     tables: OrderTables,

@@ -640,6 +640,7 @@ def statements() -> dict[str, str]:
             "(SELECT sum(neg) FROM roc) AS n FROM roc WINDOW d AS (ORDER BY score DESC)"),
         "split_random": w("SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_overlap FROM basetable"),
         "tree_rows": w(f"SELECT order_id, label FROM basetable WHERE {BUCKET} >= 7000"),
+        "score_reloaded": w("SELECT order_id, true AS same FROM h_basetable"),
         "score_rows": w("SELECT order_id, 1 AS is_class FROM h_basetable"),
         "importance_total": w(
             f"SELECT CAST({len(DAYS) + 11 + len(CATEGORIES)} + " + " + ".join(

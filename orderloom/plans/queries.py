@@ -870,3 +870,15 @@ def score_output(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_path(spark, "scores")
     tables.write_scores(scorer.score(standin.holdout_tables(spark, sf), standin.HOLDOUT), path)
     return spark.read.parquet(path)
+
+
+@query
+def score_reloaded(spark: SparkSession, sf: str) -> DataFrame:
+    """Every holdout order, and whether a scorer that was saved and loaded says the same."""
+    scorer, _ = _evaluated(spark, sf)
+    path = shared_path(spark, "scorer")
+    scorer.save(path)
+    given = standin.holdout_tables(spark, sf)
+    first = scorer.score(given, standin.HOLDOUT)
+    again = score.load_scorer(spark, path).score(given, standin.HOLDOUT).withColumnRenamed("prediction", "again")
+    return first.join(again, "order_id", "full").select("order_id", (F.col("prediction") == F.col("again")).alias("same"))

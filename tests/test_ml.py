@@ -186,3 +186,13 @@ def test_tables_of_folds_splits_and_equations(spark, signal):
     assert (root["name"], root["rows"]) == ("strong", 2000.0) and 8 <= root["threshold"] < 9
     equations = models.score_equations(models.fit_logistic(signal, tol=1e-12, maxIter=200), signal).collect()
     assert {r["name"] for r in equations} == {"intercept", "strong", "weak"} and all(abs(r["gradient"]) < 1e-6 for r in equations)
+
+
+def test_a_saved_scorer_says_the_same(spark, folder, tmp_path):
+    given = standin.training_tables(spark, folder)
+    scorer = score.fit_scorer(given, standin.TRAINING, STRONG)
+    scorer.save(str(tmp_path / "scorer"))
+    loaded = score.load_scorer(spark, str(tmp_path / "scorer"))
+    assert loaded.stats == scorer.stats and tuple(loaded.categories) == tuple(scorer.categories)
+    holdout = standin.holdout_tables(spark, folder)
+    assert rows(loaded.score(holdout, standin.HOLDOUT)) == rows(scorer.score(holdout, standin.HOLDOUT))
