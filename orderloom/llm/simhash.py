@@ -11,15 +11,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 from orderloom.llm.components import components
 from orderloom.llm.stages import attach, stage
 
-#: Four byte positions per posting list: the planes of the cube, 14 of them. Three
-#: differing bytes always lie inside a plane, whose complement is a plane too, so two
-#: fingerprints with three differing bits share at least one posting.
-POSTINGS = tuple(s for s in combinations(range(8), 4) if s[0] ^ s[1] ^ s[2] ^ s[3] == 0)
-#: Fewest equal positional bytes of two fingerprints with three differing bits.
-LEAST_EQUAL_BYTES = 5
+#: Byte positions as the points 0 to 6 of two Fano planes that share no line, and point 7.
+_LINES = [frozenset((sign * d + i) % 7 for d in (0, 1, 3)) for sign in (1, -1) for i in range(7)]
+#: Four byte positions per posting list: lines with point 7, and what lines leave of the
+#: other points. Of the 14 sets of a plane exactly one avoids any three positions, so two
+#: fingerprints share ``LEAST_SHARED`` postings if five bytes are equal, more if more are,
+#: and one at most if four are.
+POSTINGS = tuple(tuple(sorted(line | {7})) for line in _LINES) + tuple(tuple(sorted(set(range(7)) - line)) for line in _LINES)
+#: Fewest postings that two fingerprints with three differing bytes share.
+LEAST_SHARED = 2
 MAX_BITS = 3
-#: Posting lists up to this length are joined with themselves; longer ones are linked
-#: through centres, at a cost in proportion to their length.
+#: Posting lists up to this length are joined with themselves and tallied; longer ones are
+#: linked through centres, at a cost in proportion to their length.
 LONG_LIST = 64
 #: A document is hashed in runs of this many words, to bound memory.
 _RUN = 1 << 18
@@ -66,12 +69,6 @@ def _bytes(fp: Column, places) -> Column:
     return fp.bitwiseAND(F.lit(_signed(sum(0xFF << (8 * p) for p in places))))
 
 
-def _equal_bytes(left: Column, right: Column) -> Column:
-    """How many positional bytes two fingerprints share."""
-    apart = left.bitwiseXOR(right)
-    return sum(((_bytes(apart, [p]) == 0).cast("int") for p in range(1, 8)), (_bytes(apart, [0]) == 0).cast("int"))
-
-
 def _ball(places, radius: int) -> list[int]:
     """All masks of up to ``radius`` bits within some bytes."""
     bits = [8 * p + i for p in places for i in range(8)]
@@ -81,13 +78,14 @@ def _ball(places, radius: int) -> list[int]:
 def links(fingerprints: DataFrame, fp: str = "fp", long_list: int = LONG_LIST) -> DataFrame:
     """(a, b) pairs of distinct fingerprints that connect all within three bits of each other.
 
-    Every fingerprint is posted under the 14 sets of four positional bytes. Partners
-    come from equal postings, are kept if they share five bytes or more, and verified by
-    counting bits. Two fingerprints of one long posting list are not paired with each
-    other: they agree outside four bytes, so each goes to all values within two bits of
-    it there, and at every value that some member is within one bit of, all meet that
-    member (two and one are three bits at most). Any two within three bits meet such a
-    value, so components stay exact and the rows grow with the list, not its square.
+    Every fingerprint is posted under 28 sets of four positional bytes. Postings that a
+    pair shares are tallied, pairs that reach the guaranteed minimum are kept (it takes
+    five equal bytes), and verified by counting bits. Two fingerprints of one long posting
+    list are not paired there: they agree outside four bytes, so each goes to all values
+    within two bits of it there, and at every value that some member is within one bit of,
+    all meet that member (two and one are three bits at most). Any two within three bits
+    meet such a value, so components stay exact and the rows grow with the list, not its
+    square. A pair whose tally misses a long list is linked by that list already.
     """
     posts = stage(
         fingerprints.select(F.col(fp).alias("fp")).distinct().select(
@@ -100,14 +98,9 @@ def links(fingerprints: DataFrame, fp: str = "fp", long_list: int = LONG_LIST) -
     long_keys = stage(sizes.where(F.col("n") > long_list).select("posting", "key"), "long-postings")
     short = posts.join(long_keys, ["posting", "key"], "left_anti")
     left, right = short.withColumnRenamed("fp", "a"), short.withColumnRenamed("fp", "b")
-    apart = F.col("a").bitwiseXOR(F.col("b"))
-    close = (
-        (F.col("a") < F.col("b"))
-        & (_equal_bytes(F.col("a"), F.col("b")) >= LEAST_EQUAL_BYTES)
-        & (F.bit_count(apart) <= MAX_BITS)
-    )
-    keys = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("posting", "key")]
-    pairs = left.alias("x").join(right.alias("y"), [*keys, close]).select("a", "b")
+    shared = left.join(right, ["posting", "key"]).where("a < b")
+    tally = shared.groupBy("a", "b").agg(F.count("*").alias("n_shared")).where(F.col("n_shared") >= LEAST_SHARED)
+    pairs = tally.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS).select("a", "b")
 
     balls = [" ".join(map(str, _ball(sorted(set(range(8)) - set(s)), 2))) for s in POSTINGS]
     masks = F.transform(F.split(F.lit(",".join(balls)), ","), lambda b: F.split(b, " ").cast("array<bigint>"))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from itertools import combinations
 
 import numpy as np
 import xxhash
@@ -64,12 +65,28 @@ def test_links_and_long_lists_equal_brute_force(spark):
     rows = [(i, v - (1 << 64) if v >> 63 else v) for i, v in prints.items()]
     docs = stage(spark.createDataFrame(rows, "doc_id bigint, fp bigint"), "test")
     want = slow_components(prints)
-    for long_list in (64, 1):
+    for long_list in (64, 5, 1):
         got = simhash.near_duplicates(docs, long_list=long_list).collect()
         assert {r["doc_id"]: r["component_id"] for r in got} == want
         assert len(got) == len(prints)
 
 
+def test_shared_postings_tell_how_many_bytes_are_equal():
+    assert len(set(simhash.POSTINGS)) == 28 and {len(p) for p in simhash.POSTINGS} == {4}
+    for n_equal in range(9):
+        for equal in combinations(range(8), n_equal):
+            shared = sum(set(p) <= set(equal) for p in simhash.POSTINGS)
+            assert (shared >= simhash.LEAST_SHARED) == (n_equal >= 5)
+
+
+def test_links_are_the_pairs_within_three_bits(spark):
+    values = sorted(set(planted(seed=8).values()))
+    signed = [(v - (1 << 64) if v >> 63 else v,) for v in values]
+    got = simhash.links(stage(spark.createDataFrame(signed, "fp bigint"), "test"), long_list=len(values)).collect()
+    close = {(a, b) for (a,), (b,) in combinations(sorted(signed), 2) if ((a ^ b) % (1 << 64)).bit_count() <= 3}
+    assert close and {tuple(r) for r in got} == close and len(got) == len(close)
+
+
 def test_fingerprints_of_odd_texts(spark):
     docs = documents(spark, odd_texts())
     got = docs.select("doc_id", simhash.fingerprint_column(docs["text"]).alias("fp")).collect()
