@@ -138,3 +138,16 @@ def test_odd_tables(spark):
     assert len(rows) == 5 and len(set(rows)) == 3
     full = next(r for r in rows if r[0] is None)
     assert full[6] == 4 * full[4] and full[5] == full[4]
+
+
+def test_bytes_that_move_between_units_leave_the_text_one_unit():
+    aligner = alignment.Aligner(*PATHS)
+    first, second = (aligner.a.encode(t, add_special_tokens=False).ids for t in (" house", " water"))
+    assert len(first) == len(second) == 1
+    for token, value in ((first[0], b" house "), (second[0], b"water")):
+        aligner.a_bytes[token] = value
+        aligner.a_size[token] = len(value)
+    b = aligner.b.encode("house water")
+    found = list(aligner.align(["house water", "house", "house water", "water water"]))
+    assert found[0][:5] == found[2][:5] == (2, len(b), 1, 3, hashlib.sha256(f"{first[0]},{second[0]}|{b[0]},{b[1]}".encode()).hexdigest())
+    assert found[1][:5] == found[3][:5] == (0, 0, 0, 0, "")
