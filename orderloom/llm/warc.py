@@ -25,6 +25,8 @@ _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-
 _PARSED = (
     "origin string, type string, number bigint, total bigint, refers_to string, digest string, block binary"
 )
+_WHOLE = "origin string, type string, digest string, block binary"
+_WHOLE_TYPES = [pa.string(), pa.string(), pa.string(), pa.binary()]
 
 
 def chunked(payload: bytes, size: int = CHUNK_BYTES) -> bytes:
@@ -50,10 +52,38 @@ def dechunked(body: bytes) -> bytes:
 
 
 def _record(block: bytes, **fields) -> bytes:
-    """Header and block of one record; the two line ends after it are the file's separator."""
+    """Header, block and the two line ends of one record."""
     named = {k.replace("_", "-"): v for k, v in fields.items() if v is not None}
     lines = [b"WARC/1.1", *(f"{k}: {v}".encode() for k, v in named.items()), b"Content-Length: %d" % len(block)]
-    return b"\r\n".join(lines) + b"\r\n\r\n" + block
+    return b"\r\n".join(lines) + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def _member(record: bytes) -> bytes:
+    """A record as a gzip member of its own, without the last byte.
+
+    That byte is the highest of the record's size, zero below 16 MB. A text file whose
+    lines end in a zero byte supplies it, so the lines of Spark's text writer are members.
+    """
+    if len(record) >= 1 << 24:
+        raise ValueError("a record of 16 MB or more; write smaller segments")
+    packer = zlib.compressobj(6, zlib.DEFLATED, 31)
+    return (packer.compress(record) + packer.flush())[:-1]
+
+
+def inflated(data: bytes) -> bytes:
+    """The contents of a file: all gzip members of it, one after another, or itself if it has none."""
+    if data[:2] != b"\x1f\x8b":
+        return data
+    parts = []
+    while data[:2] == b"\x1f\x8b":
+        member = zlib.decompressobj(31)
+        parts.append(member.decompress(data))
+        if not member.eof:
+            raise ValueError("a gzip member does not end")
+        data = member.unused_data
+    if data.strip(b"\0"):
+        raise ValueError("other data behind gzip members")
+    return b"".join(parts)
 
 
 def _records(batches: Iterator[pa.RecordBatch], segment: int) -> Iterator[pa.RecordBatch]:
@@ -82,21 +112,22 @@ def _records(batches: Iterator[pa.RecordBatch], segment: int) -> Iterator[pa.Rec
                     Content_Type="application/http; msgtype=response" if first else None, **common,
                 ))
         for at in range(0, len(out), 4096):
-            yield pa.RecordBatch.from_arrays([pa.array(out[at : at + 4096], pa.binary())], ["record"])
+            yield pa.RecordBatch.from_arrays([pa.array([_member(r) for r in out[at : at + 4096]], pa.binary())], ["record"])
 
 
 def write_archives(
     pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", body_col: str = "html",
     revisit_bytes: int = REVISIT_BYTES, segment_bytes: int = SEGMENT_BYTES, file_records: int = FILE_RECORDS,
 ) -> None:
-    """Write one record per page, and its continuations, as gzip WARC files in ``path``.
+    """Write one record per page, and its continuations, as WARC files in ``path``, a gzip member per record.
 
     Of equal payloads of ``revisit_bytes`` or more a row with the largest id is written,
     the others revisit it. Payloads (null: empty) are framed as chunked HTTP and cut at
     ``segment_bytes``. A null id is written without a number and counts as the smallest.
     Rows that repeat an id and payload are records of their own, with a number in the
     record's id; such rows go to a table without their payloads first, so that the numbers
-    stay when a task runs again. Spark's text writer writes the files, so any store works.
+    stay when a task runs again. Spark's text writer writes the files, so any store works;
+    their names end in ``.txt`` for that reason. Segments must be shorter than 16 MB.
     """
     payload = F.coalesce(F.col(body_col), F.lit("")).cast("binary")
     own = F.concat(F.lit("<urn:page:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), F.sha1(payload), F.lit(">"))
@@ -114,8 +145,8 @@ def write_archives(
     once = known.where(F.coalesce("times", F.lit(1)) == 1).select("own", "url", "digest", "target", lean.alias("payload"))
     records = once.unionByName(_repeats(rows, odd)).mapInArrow(lambda batches: _records(batches, segment_bytes), "record binary")
     (
-        records.select(F.col("record").cast("string")).write.option("lineSep", "\r\n\r\n")
-        .option("compression", "gzip").option("maxRecordsPerFile", file_records).text(path)
+        records.select(F.col("record").cast("string")).write.option("lineSep", "\0")
+        .option("compression", "none").option("maxRecordsPerFile", file_records).text(path)
     )
 
 
@@ -171,8 +202,7 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = lambda v: None if v is None else int(v)
     for batch in batches:
         for content in batch.column(0):
-            data = content.as_py()
-            data = zlib.decompress(data, 47) if data[:2] == b"\x1f\x8b" else data
+            data = inflated(content.as_py())
             rows = [
                 (
                     f.get("warc-segment-origin-id", f["warc-record-id"]), f["warc-type"], number(f.get("warc-segment-number")),
@@ -208,25 +238,45 @@ def _decoded(block: Column) -> Column:
     return of(block)
 
 
+def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Segments that come sorted by origin and number, put together one record at a time."""
+    names = [c.split()[0] for c in _WHOLE.split(", ")]
+
+    def done(origin: str, kind: str | None, digest: str | None, total: int | None, pieces: list[bytes], numbers: list[int]) -> pa.RecordBatch:
+        if kind is None or numbers != list(range(1, len(numbers) + 1)) or sum(map(len, pieces)) != total:
+            raise ValueError(f"incomplete segments of {origin}")
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((origin, kind, digest, b"".join(pieces)), _WHOLE_TYPES)], names)
+
+    own = None
+    for batch in batches:
+        for origin, kind, number, total, digest, piece in zip(*batch.columns):
+            if own is None or origin.as_py() != own[0]:
+                if own is not None:
+                    yield done(*own)
+                own = [origin.as_py(), None, None, None, [], []]
+            if kind.as_py() != "continuation":
+                own[1] = kind.as_py()
+            own[2], own[3] = own[2] or digest.as_py(), total.as_py() if total.as_py() is not None else own[3]
+            own[4].append(piece.as_py())
+            own[5].append(number.as_py())
+    if own is not None:
+        yield done(*own)
+
+
 def read_records(spark, path: str) -> DataFrame:
     """(origin, type, refers_to, digest, block) of every record, its segments put together.
 
-    Segments are grouped by the id of the record they continue, ordered by number, and
-    checked: none is missing and their lengths give the stated total. Records without
-    segments are not shuffled. A record whose segments are incomplete raises an error.
+    Segments are dealt out by the id of the record they continue, sorted by number, and
+    streamed: a task holds the record it puts together and the batch it reads. None may be
+    missing, and their lengths must give the stated total; else an error is raised. Records
+    without segments are not shuffled. Files may be plain, or of any number of gzip members.
     """
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content").mapInArrow(_parsed, _PARSED)
     whole = found.where(F.col("number").isNull()).select("origin", "type", "refers_to", "digest", "block")
-    parts = found.where(F.col("number").isNotNull()).groupBy("origin").agg(
-        F.max(F.when(F.col("type") != "continuation", F.col("type"))).alias("type"),
-        F.max("digest").alias("digest"), F.max("total").alias("total"), F.max("number").alias("last"),
-        F.count("*").alias("n"), F.sum(F.octet_length("block")).alias("length"),
-        F.array_sort(F.collect_list(F.struct("number", F.hex("block").alias("piece")))).alias("pieces"),
-    )
-    good = (F.col("n") == F.col("last")) & (F.col("length") == F.col("total")) & F.col("type").isNotNull()
-    joined = F.unhex(F.array_join(F.transform("pieces", lambda p: p["piece"]), ""))
-    checked = F.when(good, joined).otherwise(F.raise_error(F.concat(F.lit("incomplete segments of "), F.col("origin"))))
-    return whole.unionByName(parts.select("origin", "type", F.lit(None).cast("string").alias("refers_to"), "digest", checked.alias("block")))
+    parts = found.where(F.col("number").isNotNull()).select("origin", "type", "number", "total", "digest", "block")
+    sorted_parts = parts.repartition("origin").sortWithinPartitions("origin", "number")
+    joined = sorted_parts.mapInArrow(_assembled, _WHOLE)
+    return whole.unionByName(joined.select("origin", "type", F.lit(None).cast("string").alias("refers_to"), "digest", "block"))
 
 
 def payloads(records: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import gzip
 import hashlib
+import zlib
 
 import pytest
 from orderloom.llm import warc
@@ -44,21 +46,59 @@ def test_round_trip(spark, segment):
     assert all(texts[str(i)] == (html or "").encode() for i, _, html in rows if str(i) in texts)
 
 
+def gzip_members(data):
+    """Contents of every member, read by the general decompressor."""
+    found = []
+    while data:
+        member = zlib.decompressobj(31)
+        found.append(member.decompress(data))
+        assert member.eof
+        data = member.unused_data
+    return found
+
+
+def test_a_member_is_a_record(spark):
+    df, rows = pages(spark)
+    path = shared_path(spark, "warc")
+    warc.write_archives(df, path, segment_bytes=4096)
+    files = [bytes(r[0]) for r in spark.read.format("binaryFile").load(path).select("content").collect()]
+    members = [m for f in files for m in gzip_members(f)]
+    assert all(len(list(warc.parse(m))) == 1 for m in members)
+    assert b"".join(members) == b"".join(map(gzip.decompress, files)) == b"".join(map(warc.inflated, files))
+    assert len({f["warc-record-id"] for m in members for f, _ in warc.parse(m)}) == len(members) > len(rows)
+
+
+def test_inflated():
+    one, two = gzip.compress(b"abc"), gzip.compress(b"")
+    assert warc.inflated(b"") == b"" and warc.inflated(b"plain") == b"plain"
+    assert warc.inflated(one + two + one) == b"abcabc" and warc.inflated(one + b"\0\0") == b"abc"
+    for broken in (one[:-9], one + b"x"):
+        with pytest.raises(ValueError):
+            warc.inflated(broken)
+    with pytest.raises(ValueError):
+        warc._member(bytes(1 << 24))
+
+
+def test_long_pages(spark):
+    rows = [(i, "u", chr(97 + i) * 3_000_000 + "é\r\n") for i in range(3)]
+    path = shared_path(spark, "warc")
+    warc.write_archives(spark.createDataFrame(rows, PAGES), path)
+    assert {tuple(r) for r in warc.page_records(spark, path).collect()} == brute(rows)
+
+
 def test_a_lost_segment_is_an_error(spark):
     df, _ = pages(spark)
     path = shared_path(spark, "warc")
     warc.write_archives(df.where("page_id = 9"), path, segment_bytes=4096)
-    text = spark.read.option("lineSep", "\r\n\r\nWARC/1.1\r\nWARC-Type: continuation").text(path)
-    assert text.count() > 3
-    whole = b"".join(bytes(r[0]) for r in spark.read.format("binaryFile").load(path).select("content").collect())
-    import zlib
-
-    records = list(warc.parse(zlib.decompress(whole, 47)))
+    members = [m for r in spark.read.format("binaryFile").load(path).select("content").collect() for m in gzip_members(bytes(r[0]))]
+    assert len(members) > 3
+    records = [record for m in members for record in warc.parse(m)]
+    assert len(records) == len(members)
     assert sum(len(b) for f, b in records) == int(records[-1][0]["warc-segment-total-length"])
-    kept = [warc._record(b, **{k.replace("-", "_"): v for k, v in f.items() if k != "content-length"}) for f, b in records if f.get("warc-segment-number") != "2"]
+    kept = [m for m, (f, _) in zip(members, records) if f.get("warc-segment-number") != "2"]
     broken = shared_path(spark, "warc")
-    spark.createDataFrame([("\r\n\r\n".join(k.decode("latin-1") for k in kept),)], "r string")
-    spark.createDataFrame([(k,) for k in kept], "r binary").selectExpr("CAST(r AS string)").coalesce(1).write.option("lineSep", "\r\n\r\n").text(broken)
+    plain = spark.createDataFrame([(b"".join(kept)[:-1],)], "r binary").selectExpr("CAST(r AS string)").coalesce(1)
+    plain.write.option("lineSep", "\n").text(broken)
     with pytest.raises(Exception, match="incomplete segments"):
         warc.read_records(spark, broken).collect()
 
