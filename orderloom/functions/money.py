@@ -15,8 +15,15 @@ TERM = "DECIMAL(28, 10)"
 
 
 def units(name: str) -> Column:
-    """A column as an exact term; null stays null; NaN and infinite values become null."""
-    return F.col(_quoted(name)).cast("double").try_cast(TERM)
+    """A column as an exact term; null stays null; NaN and infinite values become null.
+
+    A number that is too large for a term raises an error instead of leaving a sum silently.
+    """
+    value = F.col(_quoted(name)).cast("double")
+    term = value.try_cast(TERM)
+    lost = term.isNull() & value.isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf"))
+    refused = F.raise_error(F.concat(F.lit(f"{name} is too large to be summed: "), value.cast("string"))).cast(TERM)
+    return F.when(lost, refused).otherwise(term)
 
 
 def _quoted(name: str) -> str:
