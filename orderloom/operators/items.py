@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from orderloom.functions import money
 from orderloom.operators.clean import quoted
-from orderloom.session import bucketed_table
+from orderloom.operators.profile import SAFE_BYTES, has_hot_key
+from orderloom.session import bucketed_table, cut_lineage
 from orderloom.sources.schemas import CATEGORY, PRODUCT_MEASURES
 
 AMOUNT_PREFIX = "total_amount_"
@@ -36,14 +37,18 @@ class ItemStats:
         return filled if self.mode is None else filled.na.fill(self.mode, subset=[CATEGORY])
 
 
-def shared_items(items: DataFrame) -> DataFrame:
+def shared_items(items: DataFrame, safe_bytes: int = SAFE_BYTES) -> DataFrame:
     """The distinct items as a table that is bucketed by order.
 
     Everything an order's items are used for reads this table: dropping copies once more
     and gathering by order need no exchange then, since equal rows and the rows of an
-    order lie in one bucket.
+    order lie in one bucket. A large table in which one order holds much of all items
+    (see ``has_hot_key``) is not bucketed: items are combined before each exchange then.
     """
-    return bucketed_table(items.dropDuplicates(), "order_id", "items")
+    distinct = items.dropDuplicates()
+    if has_hot_key(items, "order_id", safe_bytes):
+        return cut_lineage(distinct)
+    return bucketed_table(distinct, "order_id", "items")
 
 
 def with_products(items: DataFrame, products: DataFrame) -> DataFrame:

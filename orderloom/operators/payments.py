@@ -6,16 +6,17 @@ from pyspark.sql import DataFrame, functions as F
 
 from orderloom.functions import money
 from orderloom.operators.clean import drop_na_keys
-from orderloom.operators.profile import count_checks
+from orderloom.operators.profile import count_checks, has_hot_key
 
 
-def payment_facts(payments: DataFrame, spread: bool = False) -> DataFrame:
+def payment_facts(payments: DataFrame, spread: bool | None = None) -> DataFrame:
     """Everything known about an order's payments, from one exchange.
 
     Rows without an order go first. The others are exchanged by order once; copies are
     dropped and facts gathered where they are then. ``spread`` is for tables in which one
-    order may hold a large share of all payments: copies are then dropped by whole row,
-    and combined facts exchanged once more.
+    order holds a large share of all payments: copies are then dropped by whole row, and
+    combined facts exchanged once more. Unless it is given, large tables are looked
+    through for such an order.
 
     The payment type is that of the lowest sequence number, and of equals the
     alphabetically first. Callers select what they need; Spark drops the rest of
@@ -23,6 +24,8 @@ def payment_facts(payments: DataFrame, spread: bool = False) -> DataFrame:
     """
     first = F.struct("payment_sequential", "payment_type")
     known = drop_na_keys(payments)
+    if spread is None:
+        spread = has_hot_key(known, "order_id")
     facts = (
         (known if spread else known.repartition("order_id")).dropDuplicates()
         .withColumn("units", money.units("payment_value"))

@@ -120,3 +120,24 @@ def group_counts(df: DataFrame, key: str, counted: str, name: str) -> DataFrame:
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """Keys that occur more than once, with their row count."""
     return df.groupBy(key).agg(F.count("*").alias("count")).where(F.col("count") > 1)
+
+
+#: A table of fewer bytes fits a task as a whole, whatever its keys.
+SAFE_BYTES = 1 << 30
+#: A key is hot from this share of all rows on.
+HOT_SHARE = 0.001
+#: Keys that the sketch of ``has_hot_key`` follows; its error is far below the hot share.
+TRACKED_KEYS = 50_000
+
+
+def has_hot_key(df: DataFrame, key: str, safe_bytes: int = SAFE_BYTES) -> bool:
+    """Whether one value of ``key`` holds a thousandth or more of a table too large for one task.
+
+    One pass over the column, with a frequent-items sketch that is merged: nothing is
+    shuffled by key. Tables that are small by Spark's own estimate are not read at all.
+    """
+    if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < safe_bytes:
+        return False
+    known = df.select(F.col(key).alias("key")).where("key IS NOT NULL")
+    n, top = known.agg(F.count("*"), F.expr(f"approx_top_k(key, 1, {TRACKED_KEYS})")).first()
+    return bool(top) and top[0]["count"] >= HOT_SHARE * n

@@ -191,3 +191,19 @@ def test_result_does_not_depend_on_partitions(spark):
         for a, b in itertools.product((1, 5), (1, 3))
     ]
     assert all(r == results[0] for r in results)
+
+
+def test_items_of_a_hot_order_are_not_bucketed(spark):
+    spread = spark.range(3000).selectExpr(
+        "concat('o', id) AS order_id", "id AS order_item_id", "id % 7 AS product_id", "double(id % 5) AS price", "double(id % 2) AS shipping_cost",
+    )
+    hot = spread.withColumn("order_id", F.expr("if(order_item_id % 3 = 0, 'hot', order_id)"))
+    hot = hot.unionByName(hot.where("order_item_id < 4"))  # copies
+    assert profile.has_hot_key(hot, "order_id", 0) and not profile.has_hot_key(spread, "order_id", 0)
+    assert not profile.has_hot_key(hot, "order_id") and not profile.has_hot_key(hot.limit(0), "order_id", 0)
+    bucketed, plain = items.shared_items(hot), items.shared_items(hot, safe_bytes=0)
+    is_bucketed = lambda df: "Bucketed:" in df._jdf.queryExecution().executedPlan().toString()
+    assert is_bucketed(bucketed) and not is_bucketed(plain) and is_bucketed(items.shared_items(spread, safe_bytes=0))
+    described = lambda df: df.withColumns({items.CATEGORY: F.lit("A"), **{name: F.lit(1.0) for name in items.AVERAGED_MEASURES}})
+    one, two = (rows(items.items_per_order(described(df), ("A",))) for df in (bucketed, plain))
+    assert one == two and len(one) == 2001
