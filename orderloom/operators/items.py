@@ -132,28 +132,33 @@ _SUMMED = ("price", "shipping_cost", *AVERAGED_MEASURES)
 
 def _terms(items_products: DataFrame) -> DataFrame:
     """Key, category and exact terms of every item. Without price or shipping cost there is no amount."""
+    parts = [money.cents("price"), money.cents("shipping_cost")]
+    amount = parts[0] + parts[1]
     return items_products.select(
         "order_id",
         F.col(CATEGORY).alias("category"),
         F.expr("int(order_item_id IS NOT NULL)").alias("total_items"),
-        *[money.units(name).alias(f"sum_{name}") for name in _SUMMED],
+        *[money.cents(name).alias(f"cents_{name}") for name in _SUMMED],
+        *[money.rest(name).alias(f"rest_{name}") for name in _SUMMED],
         *[F.expr(f"int({name} IS NOT NULL)").alias(f"n_{name}") for name in _SUMMED],
-    ).withColumn("amount", F.expr("sum_price + sum_shipping_cost"))
+        amount.alias("amount_cents"),
+        F.when(amount.isNull(), money.units("price") + money.units("shipping_cost")).alias("amount_rest"),
+    )
 
 
 def _order_sums(rows: DataFrame) -> DataFrame:
     """Counts and sums of the terms of an order's items."""
-    sums = [F.sum(name).alias(name) for name in rows.columns if name not in ("order_id", "category", "amount")]
+    sums = [F.sum(name).alias(name) for name in rows.columns if name not in ("order_id", "category", "amount_cents", "amount_rest")]
     return rows.groupBy("order_id").agg(*sums)
 
 
 def _costs() -> list[Column]:
     means = {
-        f"average_{name}": money.mean_to_cents(f"sum_{name}", f"n_{name}") for name in _SUMMED
+        f"average_{name}": money.sum_mean_to_cents(f"cents_{name}", f"rest_{name}", f"n_{name}") for name in _SUMMED
     }
     return [
-        money.to_cents("sum_price").alias("total_price"),
-        money.to_cents("sum_shipping_cost").alias("total_shipping_cost"),
+        money.sum_to_cents("cents_price", "rest_price").alias("total_price"),
+        money.sum_to_cents("cents_shipping_cost", "rest_shipping_cost").alias("total_shipping_cost"),
         means.pop("average_price").alias("average_price"),
         means.pop("average_shipping_cost").alias("average_shipping_cost"),
         *[value.alias(name) for name, value in means.items()],
@@ -169,12 +174,17 @@ def _wide(rows: DataFrame, categories: Sequence[str]) -> DataFrame:
     names = unique_names([AMOUNT_PREFIX + name for name in categories])
     if not categories:
         return rows.select("order_id").distinct()
-    slots = rows.groupBy("order_id").pivot("category", list(categories)).agg(F.sum("amount"))
+    # One double for each order and category; its maximum there is itself.
+    slots = _amounts(rows).groupBy("order_id").pivot("category", list(categories)).agg(F.max("amount"))
     # By place: category names may differ in case alone, or clash with the key.
     slots = slots.toDF("order_id", *[f"slot_{i}" for i in range(len(categories))])
-    return slots.select("order_id", *[
-        F.coalesce(F.col(f"slot_{i}").cast("double"), F.lit(0.0)).alias(name) for i, name in enumerate(names)
-    ])
+    return slots.select("order_id", *[F.coalesce(f"slot_{i}", F.lit(0.0)).alias(name) for i, name in enumerate(names)])
+
+
+def _amounts(rows: DataFrame) -> DataFrame:
+    """(order_id, category, amount): the exact sum as a double; no amount counts as 0."""
+    summed = rows.groupBy("order_id", "category").agg(F.sum("amount_cents").alias("cents"), F.sum("amount_rest").alias("rest"))
+    return summed.select("order_id", "category", F.coalesce(money.sum_unrounded("cents", "rest"), F.lit(0.0)).alias("amount"))
 
 
 def unique_names(names: Sequence[str]) -> list[str]:
@@ -212,8 +222,7 @@ def category_amounts(items_products: DataFrame, categories: Sequence[str]) -> Da
 
 def category_amounts_long(items_products: DataFrame) -> DataFrame:
     """(order_id, category, amount), for any number of categories; no amount counts as 0."""
-    summed = _terms(items_products).groupBy("order_id", "category").agg(F.sum("amount").alias("amount"))
-    return summed.select("order_id", "category", F.coalesce(money.unrounded("amount"), F.lit(0.0)).alias("amount"))
+    return _amounts(_terms(items_products))
 
 
 def order_costs(items_products: DataFrame) -> DataFrame:
