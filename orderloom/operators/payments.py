@@ -7,13 +7,15 @@ from pyspark.sql import DataFrame, functions as F
 from orderloom.functions import money
 from orderloom.operators.clean import drop_na_keys
 from orderloom.operators.profile import count_checks, has_hot_key
+from orderloom.session import tasks_for
 
 
 def payment_facts(payments: DataFrame, spread: bool | None = None) -> DataFrame:
     """Everything known about an order's payments, from one exchange.
 
     Rows without an order go first. The others are exchanged by order once; copies are
-    dropped and facts gathered where they are then. ``spread`` is for tables in which one
+    dropped and facts gathered where they are then, by as many tasks as the table's size
+    asks for, so that none holds more of a larger table. ``spread`` is for tables in which one
     order holds a large share of all payments: copies are then dropped by whole row, and
     combined facts exchanged once more. Unless it is given, large tables are looked
     through for such an order.
@@ -27,8 +29,8 @@ def payment_facts(payments: DataFrame, spread: bool | None = None) -> DataFrame:
     if spread is None:
         spread = has_hot_key(known, "order_id")
     facts = (
-        (known if spread else known.repartition("order_id")).dropDuplicates()
-        .withColumn("units", money.units("payment_value"))
+        (known if spread else known.repartition(tasks_for(known), "order_id")).dropDuplicates()
+        .withColumns({"cents": money.cents("payment_value"), "rest": money.rest("payment_value")})
         .groupBy("order_id")
         .agg(
             F.min_by("payment_type", first).alias("payment_type"),
@@ -38,14 +40,15 @@ def payment_facts(payments: DataFrame, spread: bool | None = None) -> DataFrame:
             F.max("payment_installments").alias("max_payment_installments"),
             F.min("payment_value").alias("min_payment_value"),
             F.max("payment_value").alias("max_payment_value"),
-            F.sum("units").alias("total"),
-            F.count("units").alias("n"),
+            F.sum("cents").alias("cents"),
+            F.sum("rest").alias("rest"),
+            (F.count("cents") + F.count("rest")).alias("n"),
         )
     )
     return facts.withColumns({
-        "total_payment_value": money.to_cents("total"),
-        "average_payment_value": money.mean_to_cents("total", "n"),
-    }).drop("total", "n")
+        "total_payment_value": money.sum_to_cents("cents", "rest"),
+        "average_payment_value": money.sum_mean_to_cents("cents", "rest", "n"),
+    }).drop("cents", "rest", "n")
 
 
 def payments_per_order(payments: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orderloom.operators.clean import quoted
+from orderloom.session import estimated_bytes
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -136,7 +137,7 @@ def has_hot_key(df: DataFrame, key: str, safe_bytes: int = SAFE_BYTES) -> bool:
     One pass over the column, with a frequent-items sketch that is merged: nothing is
     shuffled by key. Tables that are small by Spark's own estimate are not read at all.
     """
-    if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < safe_bytes:
+    if estimated_bytes(df) < safe_bytes:
         return False
     known = df.select(F.col(key).alias("key")).where("key IS NOT NULL")
     n, top = known.agg(F.count("*"), F.expr(f"approx_top_k(key, 1, {TRACKED_KEYS})")).first()
