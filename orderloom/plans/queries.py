@@ -613,7 +613,8 @@ def feature_select(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def split_train_test(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = split.split_by_key(_basetable(spark, sf).select("review_id", "order_id", "label"))
+    # Both sides read the rows: stored, the base table is made once.
+    train, test = split.split_by_key(_stored(_basetable(spark, sf), "review_id", "order_id", "label"))
     return train.withColumn("side", F.lit("train")).unionByName(
         test.withColumn("side", F.lit("test"))
     )
