@@ -19,12 +19,15 @@ SEGMENT_BYTES = 8192
 CHUNK_BYTES = 4096
 #: Records per file; with the segment size it bounds what one read holds.
 FILE_RECORDS = 2000
+#: Bytes of a file that are decompressed at a time.
+READ_BYTES = 4096
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 _PARSED = (
     "origin string, type string, number bigint, total bigint, refers_to string, digest string, block binary"
 )
+_MEASURED = f"{_PARSED}, size bigint, sha1 string"
 _WHOLE = "origin string, type string, digest string, block binary"
 _WHOLE_TYPES = [pa.string(), pa.string(), pa.string(), pa.binary()]
 
@@ -74,14 +77,17 @@ def inflated(data: bytes) -> bytes:
     """The contents of a file: all gzip members of it, one after another, or itself if it has none."""
     if data[:2] != b"\x1f\x8b":
         return data
-    parts = []
-    while data[:2] == b"\x1f\x8b":
+    parts, view, at = [], memoryview(data), 0
+    while view[at : at + 2] == b"\x1f\x8b":
         member = zlib.decompressobj(31)
-        parts.append(member.decompress(data))
-        if not member.eof:
-            raise ValueError("a gzip member does not end")
-        data = member.unused_data
-    if data.strip(b"\0"):
+        # What is left over behind a member is copied, so a member is not given the whole rest.
+        while not member.eof:
+            if at >= len(view):
+                raise ValueError("a gzip member does not end")
+            piece = view[at : at + READ_BYTES]
+            parts.append(member.decompress(piece))
+            at += len(piece) - len(member.unused_data)
+    if bytes(view[at:]).strip(b"\0"):
         raise ValueError("other data behind gzip members")
     return b"".join(parts)
 
@@ -198,22 +204,61 @@ def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = head + 8 + size
 
 
-def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _joined(rows: Iterator[tuple]) -> Iterator[tuple]:
+    """Parsed rows, with segments that follow each other and are all there put together.
+
+    Others, such as those of a record that goes on in the next file, stay as they are.
+    """
+    held: list[tuple] = []
+    for row in rows:
+        origin, kind, number, total, *_ = row
+        if held and (origin != held[0][0] or number != len(held) + 1):
+            yield from held
+            held = []
+        if not held and (number != 1 or kind == "continuation"):
+            yield row
+            continue
+        held.append(row)
+        if total is None:
+            continue
+        if sum(len(r[6]) for r in held) == total:
+            yield origin, held[0][1], None, None, None, next((r[5] for r in held if r[5]), None), b"".join(r[6] for r in held)
+        else:
+            yield from held
+        held = []
+    yield from held
+
+
+def _parsed(batches: Iterator[pa.RecordBatch], measured: bool = False) -> Iterator[pa.RecordBatch]:
+    """Rows of the records in each file; ``measured`` has size and digest of a whole response, not its block."""
     number = lambda v: None if v is None else int(v)
+    schema = _MEASURED if measured else _PARSED
+    fields = [(c.split()[0], {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary()}[c.split()[1]]) for c in schema.split(", ")]
     for batch in batches:
         for content in batch.column(0):
             data = inflated(content.as_py())
-            rows = [
+            rows = _joined(
                 (
                     f.get("warc-segment-origin-id", f["warc-record-id"]), f["warc-type"], number(f.get("warc-segment-number")),
                     number(f.get("warc-segment-total-length")), f.get("warc-refers-to"),
                     f.get("warc-payload-digest", "").removeprefix("sha1:") or None, block,
                 )
                 for f, block in parse(data)
-            ]
-            types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary()]
-            names = [c.split()[0] for c in _PARSED.split(", ")]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 7, types)], names)
+            )
+            rows = [_measure(row) for row in rows] if measured else list(rows)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, (_, t) in zip(zip(*rows) if rows else [[]] * len(fields), fields)], [name for name, _ in fields]
+            )
+
+
+def _measure(row: tuple) -> tuple:
+    *known, block = row
+    if known[2] is not None:
+        return *known, block, None, None
+    if known[1] != "response":
+        return *known, None, None, None
+    payload = _payload(block)
+    return *known, None, len(payload), hashlib.sha1(payload).hexdigest()
 
 
 def _payload(block: bytes) -> bytes:
@@ -266,19 +311,28 @@ def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_records(spark, path: str) -> DataFrame:
     """(origin, type, refers_to, digest, block) of every record, its segments put together.
 
-    Segments are dealt out by the id of the record they continue, sorted by number, and
+    Segments that follow each other in a file are put together there. The others are
+    dealt out by the id of the record they continue, sorted by number, and
     streamed: a task holds the record it puts together and the batch it reads. None may be
     missing, and their lengths must give the stated total; else an error is raised. Records
     without segments are not shuffled. Files may be plain, or of any number of gzip members.
     """
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content").mapInArrow(_parsed, _PARSED)
+    found = _files(spark, path).mapInArrow(_parsed, _PARSED)
     whole = found.where(F.col("number").isNull()).select("origin", "type", "refers_to", "digest", "block")
-    parts = found.where(F.col("number").isNotNull()).select("origin", "type", "number", "total", "digest", "block")
-    sorted_parts = parts.repartition("origin").sortWithinPartitions("origin", "number")
-    joined = sorted_parts.mapInArrow(_assembled, _WHOLE)
+    joined = _gathered(found)
     return whole.unionByName(joined.select("origin", "type", F.lit(None).cast("string").alias("refers_to"), "digest", "block"))
 
 
+def _files(spark, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
+
+
+def _gathered(found: DataFrame) -> DataFrame:
+    """(origin, type, digest, block) of the records whose segments are still apart."""
+    parts = found.where(F.col("number").isNotNull()).select("origin", "type", "number", "total", "digest", "block")
+    return parts.repartition("origin").sortWithinPartitions("origin", "number").mapInArrow(_assembled, _WHOLE)
+
+
 def payloads(records: DataFrame) -> DataFrame:
     """(origin, payload) of all responses, HTTP framing taken off."""
     return records.where("type = 'response'").select("origin", _decoded(F.col("block")).alias("payload"))
@@ -288,16 +342,21 @@ def page_records(spark, path: str) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to), read from archives.
 
     Size and digest are those of the decoded payload; a revisit has those of the response
-    that it refers to, which must agree with the digest it states.
+    that it refers to, which must agree with the digest it states. Files are parsed once:
+    whole responses are measured where they are read, and only segments that are still
+    apart keep their bytes.
     """
     number = lambda c: F.regexp_extract(c, r"^<urn:page:(-?[0-9]*):", 1).try_cast("bigint")
-    records = read_records(spark, path)
+    found = stage(_files(spark, path).mapInArrow(lambda batches: _parsed(batches, measured=True), _MEASURED), "records")
+    whole, gathered = found.where("number IS NULL"), stage(_gathered(found), "gathered")
+    apart = gathered.where("type = 'response'").select("origin", _digested(F.col("block")).alias("d")).select("origin", "d.size", "d.sha1")
     responses = stage(
-        records.where("type = 'response'").select("origin", _digested(F.col("block")).alias("d"), "digest").select(
-            "origin", F.col("d.size").alias("payload_bytes"), F.col("d.sha1").alias("payload_digest"),
-        ), "responses",
+        whole.where("type = 'response'").select("origin", "size", "sha1").unionByName(apart)
+        .withColumnsRenamed({"size": "payload_bytes", "sha1": "payload_digest"}), "responses",
+    )
+    revisits = whole.where("type = 'revisit'").select("origin", F.col("refers_to").alias("target"), "digest").unionByName(
+        gathered.where("type = 'revisit'").select("origin", F.lit(None).cast("string").alias("target"), "digest")
     )
-    revisits = stage(records.where("type = 'revisit'").select("origin", F.col("refers_to").alias("target"), "digest"), "revisits")
     counted = revisits.groupBy("target").agg(F.count("*").alias("n"))
     targets = stage(responses.withColumnRenamed("origin", "target").join(counted, "target"), "targets")
     met = attach(revisits, targets, "target", "n")

@@ -1,0 +1,52 @@
+"""Archives are read in one pass, and in linear time."""
+
+from __future__ import annotations
+
+import gzip
+import hashlib
+
+from orderloom.llm import warc
+
+
+def test_every_file_is_parsed_once(spark, tmp_path, monkeypatch):
+    """Size and digest come from one pass over the files, also for records that go on in the next file."""
+    pages = spark.createDataFrame([(i, f"http://x/{i}", f"{i % 7} " + "é" * (300 * i)) for i in range(40)], "page_id long, url string, html string").coalesce(1)
+    path = str(tmp_path / "archive")
+    warc.write_archives(pages, path, segment_bytes=512, file_records=3)
+    passes, read = [], warc._files
+    monkeypatch.setattr(warc, "_files", lambda *a: passes.append(1) or read(*a))
+    files = read(spark, path).count()
+    found = {r["page_id"]: (r["payload_bytes"], r["payload_digest"]) for r in warc.page_records(spark, path).collect()}
+    assert len(passes) == 1 and files > 10
+    bodies = {i: (f"{i % 7} " + "é" * (300 * i)).encode() for i in range(40)}
+    assert found == {i: (len(b), hashlib.sha1(b).hexdigest()) for i, b in bodies.items()}
+
+
+def test_segments_that_follow_each_other_need_no_shuffle():
+    first, second = ("a", "response", 1, None, None, "d", b"xx"), ("a", "continuation", 2, 3, None, None, b"y")
+    assert list(warc._joined(iter([first, second]))) == [("a", "response", None, None, None, "d", b"xxy")]
+    for apart in ([first], [second], [second, first], [first, ("b", "response", None, None, None, "e", b"z"), second], [first, (*second[:3], 9, *second[4:])]):
+        assert list(warc._joined(iter(apart))) == apart
+
+
+def test_members_are_not_handed_the_whole_rest_of_a_file(monkeypatch):
+    """What is left behind a member is copied each time: by file size, that is the square of it."""
+    given = []
+
+    class Counted:
+        def __init__(self, bits):
+            self.own = decompressobj(bits)
+
+        def decompress(self, data):
+            given.append(len(data))
+            return self.own.decompress(data)
+
+        eof = property(lambda self: self.own.eof)
+        unused_data = property(lambda self: self.own.unused_data)
+
+    decompressobj = warc.zlib.decompressobj
+    monkeypatch.setattr(warc.zlib, "decompressobj", Counted)
+    texts = [bytes([i % 251]) * 20_000 + str(i).encode() for i in range(500)]
+    data = b"".join(gzip.compress(t) for t in texts) + b"\0"
+    assert warc.inflated(data) == b"".join(texts)
+    assert sum(given) <= len(data) + 500 * warc.READ_BYTES and max(given) <= warc.READ_BYTES
