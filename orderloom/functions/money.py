@@ -52,6 +52,14 @@ def rest(name: str) -> Column:
     return F.when(cents(name).isNull(), units(name))
 
 
+def sum_rest(name: str) -> Column:
+    """The sum of a column of ``rest``, null if there was none.
+
+    Rows without one are filtered out, so that they do not touch the decimal, an object, at all.
+    """
+    return F.expr(f"sum({_quoted(name)}) FILTER (WHERE {_quoted(name)} IS NOT NULL)")
+
+
 def _both(whole: Column, others: Column) -> Column:
     """A sum of cents and a sum of other terms, each null if there were none, as one exact sum."""
     exact = (whole.cast("decimal(19,0)") * F.lit(Decimal("0.01"))).cast("decimal(37,10)")

@@ -22,9 +22,9 @@ from orderloom.ml.encode import (
 )
 from orderloom.ml.models import fit_tree
 from orderloom.ml.split import split_by_key
-from orderloom.operators.basetable import holdout_basetable, training_basetable, with_shared_items
+from orderloom.operators.basetable import fit_shared_stats, holdout_basetable, training_basetable, with_shared_items
 from orderloom.operators.clean import quoted
-from orderloom.operators.items import ItemStats, fit_item_stats
+from orderloom.operators.items import ItemStats
 from orderloom.operators.orders import HOLDOUT_WINDOW, TRAINING_WINDOW
 from orderloom.session import cut_lineage
 from orderloom.sources.tables import OrderTables
@@ -83,7 +83,7 @@ def fit_with_test(
     fitted on the training side of the split by key.
     """
     tables = with_shared_items(tables)
-    stats = fit_item_stats(tables.order_items, tables.products)
+    stats = fit_shared_stats(tables)
     names = strong_columns(categories)
     base = training_basetable(tables, stats, window)
     # indexing and growing the tree read the table again and again

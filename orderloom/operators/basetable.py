@@ -13,7 +13,9 @@ from orderloom.operators import clean
 from orderloom.operators.items import ItemStats, fit_item_stats, items_per_order, prepare_items, shared_items
 from orderloom.operators.orders import HOLDOUT_WINDOW, TRAINING_WINDOW, prepare_orders
 from orderloom.operators.payments import payments_per_order
+from orderloom.operators.profile import most_frequent
 from orderloom.operators.reviews import TIES, newest_times, prepare_reviews_with_ties, timed_reviews
+from orderloom.session import tasks_for
 from orderloom.sources.tables import OrderTables
 
 
@@ -27,7 +29,8 @@ class OrderParts:
 
     Payments and items have one row per order_id by construction, orders by the
     meaning of the table. Reviews repeat an order_id where answer times tie, and carry
-    the number of ties; ``tied`` lists the orders with more than ``rows_per_task`` of them.
+    the number of ties; ``tied`` lists the orders with more than ``rows_per_task`` of them
+    and is None where no order has so many reviews.
     """
 
     orders: DataFrame
@@ -39,8 +42,17 @@ class OrderParts:
 
 
 def with_shared_items(tables: OrderTables) -> OrderTables:
-    """The tables with items as one bucketed table, from which statistics and parts are made."""
-    return replace(tables, order_items=shared_items(tables.order_items))
+    """The tables with items as one bucketed table, from which statistics and parts are made.
+
+    Items and payments are gathered by equally many tasks, so that they meet in place.
+    """
+    tasks = max(tasks_for(tables.order_items), tasks_for(tables.order_payments))
+    return replace(tables, order_items=shared_items(tables.order_items, tasks=tasks), tasks=tasks)
+
+
+def fit_shared_stats(tables: OrderTables, wide: bool = True) -> ItemStats:
+    """``fit_item_stats`` over the tables of ``with_shared_items``, whose items are distinct already."""
+    return fit_item_stats(tables.order_items, tables.products, dedupe_items=tables.tasks is None, wide=wide)
 
 
 def prepare_parts(
@@ -51,28 +63,33 @@ def prepare_parts(
     unique_reviews: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> OrderParts:
-    items = prepare_items(tables.order_items, tables.products, stats)
+    shared = tables.tasks is not None
+    items = prepare_items(tables.order_items, tables.products, stats, dedupe_items=not shared)
     reviews = tied = None
-    if tables.order_reviews is not None:
+    if tables.order_reviews is not None and (not shared or most_frequent(tables.order_reviews, "order_id")[1] > rows_per_task):
         tied = newest_times(timed_reviews(tables.order_reviews)).where(F.col(TIES) > rows_per_task).select("order_id", TIES)
+    if tables.order_reviews is not None:
         reviews = prepare_reviews_with_ties(tables.order_reviews, unique_reviews, convention)
     return OrderParts(
         orders=prepare_orders(tables.orders, window, convention),
-        payments=payments_per_order(tables.order_payments),
-        items=items_per_order(items, stats.categories),
+        payments=payments_per_order(tables.order_payments, tables.tasks),
+        items=items_per_order(items, stats.categories, one_pass=shared),
         reviews=reviews,
         tied=tied,
         rows_per_task=rows_per_task,
     )
 
 
-def _to_reviews(reviews: DataFrame, sides: DataFrame, tied: DataFrame, how: str, rows_per_task: int) -> DataFrame:
+def _to_reviews(reviews: DataFrame, sides: DataFrame, tied: DataFrame | None, how: str, rows_per_task: int) -> DataFrame:
     """Reviews joined to one row per order, those of an order with many ties by salt.
 
     Every review knows how many tie with it, so it knows how many ways its order is
     dealt out, and a row of the sides is repeated as often for those orders alone:
-    one plan, whatever the data, with nothing collected and nothing broadcast.
+    one plan, whatever the data, with nothing collected and nothing broadcast. Without a
+    list of tied orders nothing is dealt out, and the sides stay where they were gathered.
     """
+    if tied is None:
+        return reviews.drop(TIES).join(sides, "order_id", how)
     ways = lambda ties: F.ceil(F.coalesce(ties, F.lit(1)) / rows_per_task)
     salted = reviews.withColumn("salt", F.pmod(F.xxhash64("review_id"), ways(F.col(TIES)))).drop(TIES)
     repeated = sides.join(tied, "order_id", "left").withColumn(
@@ -129,7 +146,7 @@ def training_basetable(
     """Base table of reviewed orders; statistics are fitted on the tables if not given."""
     if stats is None:
         tables = with_shared_items(tables)
-        stats = fit_item_stats(tables.order_items, tables.products)
+        stats = fit_shared_stats(tables)
     parts = prepare_parts(tables, stats, window, convention, unique_reviews)
     return build_basetable(parts, drop_subset)
 

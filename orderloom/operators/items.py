@@ -37,18 +37,18 @@ class ItemStats:
         return filled if self.mode is None else filled.na.fill(self.mode, subset=[CATEGORY])
 
 
-def shared_items(items: DataFrame, safe_bytes: int = SAFE_BYTES) -> DataFrame:
+def shared_items(items: DataFrame, safe_bytes: int = SAFE_BYTES, tasks: int | None = None) -> DataFrame:
     """The distinct items as a table that is bucketed by order.
 
-    Everything an order's items are used for reads this table: dropping copies once more
-    and gathering by order need no exchange then, since equal rows and the rows of an
-    order lie in one bucket. A large table in which one order holds much of all items
-    (see ``has_hot_key``) is not bucketed: items are combined before each exchange then.
+    Everything an order's items are used for reads this table: gathering by order needs no
+    exchange then, since the rows of an order lie in one bucket. Equal rows do as well, so
+    items are exchanged once, by order, and copies dropped where they meet. A large table
+    in which one order holds much of all items (see ``has_hot_key``) is not bucketed:
+    items are combined before each exchange then.
     """
-    distinct = items.dropDuplicates()
     if has_hot_key(items, "order_id", safe_bytes):
-        return cut_lineage(distinct)
-    return bucketed_table(distinct, "order_id", "items")
+        return cut_lineage(items.dropDuplicates())
+    return bucketed_table(items, "order_id", "items", tasks, distinct=True)
 
 
 def with_products(items: DataFrame, products: DataFrame) -> DataFrame:
@@ -117,14 +117,15 @@ def fit_item_stats(
     )
 
 
-def prepare_items(items: DataFrame, products: DataFrame, stats: ItemStats) -> DataFrame:
+def prepare_items(items: DataFrame, products: DataFrame, stats: ItemStats, dedupe_items: bool = True) -> DataFrame:
     """Distinct, fully imputed items with their product columns.
 
     Distinct items joined to distinct filled products are distinct already, so the
     joined table, the widest of all, needs no de-duplication shuffle of its own.
+    Without ``dedupe_items`` the items are taken as distinct, as those of ``shared_items`` are.
     """
     catalogue = stats.fill(products).dropDuplicates()
-    return stats.fill(with_products(items.dropDuplicates(), catalogue))
+    return stats.fill(with_products(items.dropDuplicates() if dedupe_items else items, catalogue))
 
 
 _SUMMED = ("price", "shipping_cost", *AVERAGED_MEASURES)
@@ -148,8 +149,13 @@ def _terms(items_products: DataFrame) -> DataFrame:
 
 def _order_sums(rows: DataFrame) -> DataFrame:
     """Counts and sums of the terms of an order's items."""
-    sums = [F.sum(name).alias(name) for name in rows.columns if name not in ("order_id", "category", "amount_cents", "amount_rest")]
-    return rows.groupBy("order_id").agg(*sums)
+    return rows.groupBy("order_id").agg(*_sums(rows))
+
+
+def _sums(rows: DataFrame) -> list[Column]:
+    """The sum of every term but amounts, which are summed by category."""
+    names = [name for name in rows.columns if name not in ("order_id", "category", "amount_cents", "amount_rest")]
+    return [(money.sum_rest(name) if name.startswith("rest_") else F.sum(name)).alias(name) for name in names]
 
 
 def _costs() -> list[Column]:
@@ -165,6 +171,24 @@ def _costs() -> list[Column]:
     ]
 
 
+#: Category columns that are summed in one pass with everything else. With more the generated
+#: method gets too long to be compiled, and they take a pivot of their own.
+MOST_SLOTS = 6
+
+
+def _one_pass(rows: DataFrame, categories: Sequence[str]) -> DataFrame:
+    """Sums, means and category columns by one aggregate: items are read and gathered once."""
+    own = {f"slot_{i}": F.col("category") == F.lit(name) for i, name in enumerate(categories)}
+    dealt = rows.withColumns({f"{slot}_rest": F.when(here, F.col("amount_rest")) for slot, here in own.items()})
+    slots = [F.sum(F.when(here, F.col("amount_cents"))).alias(f"{slot}_cents") for slot, here in own.items()]
+    slots += [money.sum_rest(f"{slot}_rest").alias(f"{slot}_rest") for slot in own]
+    names = unique_names([AMOUNT_PREFIX + name for name in categories])
+    amounts = [
+        F.coalesce(money.sum_unrounded(f"{slot}_cents", f"{slot}_rest"), F.lit(0.0)).alias(name) for slot, name in zip(own, names)
+    ]
+    return dealt.groupBy("order_id").agg(*_sums(rows), *slots).select("order_id", "total_items", *_costs(), *amounts)
+
+
 def _wide(rows: DataFrame, categories: Sequence[str]) -> DataFrame:
     """(order_id, amount per category): a pivot with a list of values, one slot for each.
 
@@ -183,7 +207,7 @@ def _wide(rows: DataFrame, categories: Sequence[str]) -> DataFrame:
 
 def _amounts(rows: DataFrame) -> DataFrame:
     """(order_id, category, amount): the exact sum as a double; no amount counts as 0."""
-    summed = rows.groupBy("order_id", "category").agg(F.sum("amount_cents").alias("cents"), F.sum("amount_rest").alias("rest"))
+    summed = rows.groupBy("order_id", "category").agg(F.sum("amount_cents").alias("cents"), money.sum_rest("amount_rest").alias("rest"))
     return summed.select("order_id", "category", F.coalesce(money.sum_unrounded("cents", "rest"), F.lit(0.0)).alias("amount"))
 
 
@@ -200,13 +224,16 @@ def unique_names(names: Sequence[str]) -> list[str]:
     return out
 
 
-def items_per_order(items_products: DataFrame, categories: Sequence[str]) -> DataFrame:
+def items_per_order(items_products: DataFrame, categories: Sequence[str], one_pass: bool = False) -> DataFrame:
     """Item count, totals, means and the amount per category, one row per order.
 
     Sums and category columns are two aggregates by order; on a table bucketed by order
-    neither needs an exchange, nor does joining them. Items without an order have no row.
+    neither needs an exchange, nor does joining them. With ``one_pass`` and few categories
+    they are one aggregate. Items without an order have no row.
     """
     rows = _terms(items_products).where("order_id IS NOT NULL")
+    if one_pass and len(categories) <= MOST_SLOTS:
+        return _with_total(_one_pass(rows, categories))
     sums = _order_sums(rows).select("order_id", "total_items", *_costs())
     wide = _wide(rows, categories).withColumnRenamed("order_id", "wide_id")
     order = [*sums.columns, *[c for c in wide.columns if c != "wide_id"]]

@@ -10,12 +10,12 @@ from orderloom.operators.profile import count_checks, has_hot_key
 from orderloom.session import tasks_for
 
 
-def payment_facts(payments: DataFrame, spread: bool | None = None) -> DataFrame:
+def payment_facts(payments: DataFrame, spread: bool | None = None, tasks: int | None = None) -> DataFrame:
     """Everything known about an order's payments, from one exchange.
 
     Rows without an order go first. The others are exchanged by order once; copies are
     dropped and facts gathered where they are then, by as many tasks as the table's size
-    asks for, so that none holds more of a larger table. ``spread`` is for tables in which one
+    asks for unless ``tasks`` does, so that none holds more of a larger table. ``spread`` is for tables in which one
     order holds a large share of all payments: copies are then dropped by whole row, and
     combined facts exchanged once more. Unless it is given, large tables are looked
     through for such an order.
@@ -29,7 +29,7 @@ def payment_facts(payments: DataFrame, spread: bool | None = None) -> DataFrame:
     if spread is None:
         spread = has_hot_key(known, "order_id")
     facts = (
-        (known if spread else known.repartition(tasks_for(known), "order_id")).dropDuplicates()
+        (known if spread else known.repartition(tasks or tasks_for(known), "order_id")).dropDuplicates()
         .withColumns({"cents": money.cents("payment_value"), "rest": money.rest("payment_value")})
         .groupBy("order_id")
         .agg(
@@ -41,7 +41,7 @@ def payment_facts(payments: DataFrame, spread: bool | None = None) -> DataFrame:
             F.min("payment_value").alias("min_payment_value"),
             F.max("payment_value").alias("max_payment_value"),
             F.sum("cents").alias("cents"),
-            F.sum("rest").alias("rest"),
+            money.sum_rest("rest").alias("rest"),
             (F.count("cents") + F.count("rest")).alias("n"),
         )
     )
@@ -51,9 +51,9 @@ def payment_facts(payments: DataFrame, spread: bool | None = None) -> DataFrame:
     }).drop("cents", "rest", "n")
 
 
-def payments_per_order(payments: DataFrame) -> DataFrame:
+def payments_per_order(payments: DataFrame, tasks: int | None = None) -> DataFrame:
     """The payment columns of the base table."""
-    return payment_facts(payments).select(
+    return payment_facts(payments, tasks=tasks).select(
         "order_id",
         "payment_type",
         "max_payment_sequential",

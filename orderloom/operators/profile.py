@@ -139,6 +139,12 @@ def has_hot_key(df: DataFrame, key: str, safe_bytes: int = SAFE_BYTES) -> bool:
     """
     if estimated_bytes(df) < safe_bytes:
         return False
+    n, top = most_frequent(df, key)
+    return top > 0 and top >= HOT_SHARE * n
+
+
+def most_frequent(df: DataFrame, key: str) -> tuple[int, int]:
+    """Rows with a ``key``, and how many at most have the most frequent one; 0 if none stands out."""
     known = df.select(F.col(key).alias("key")).where("key IS NOT NULL")
     n, top = known.agg(F.count("*"), F.expr(f"approx_top_k(key, 1, {TRACKED_KEYS})")).first()
-    return bool(top) and top[0]["count"] >= HOT_SHARE * n
+    return n, top[0]["count"] if top else 0

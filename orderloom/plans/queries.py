@@ -443,10 +443,15 @@ def payment_agreement(spark: SparkSession, sf: str) -> DataFrame:
 # --- base tables -------------------------------------------------------------
 
 
-def _training_parts(spark: SparkSession, sf: str) -> basetable.OrderParts:
+def _fitted(spark: SparkSession, sf: str) -> tuple[basetable.OrderParts, items.ItemStats]:
+    """Training parts, and the statistics that they were prepared with."""
     given = basetable.with_shared_items(standin.training_tables(spark, sf))
-    stats = items.fit_item_stats(given.order_items, given.products)
-    return basetable.prepare_parts(given, stats, standin.TRAINING)
+    stats = basetable.fit_shared_stats(given)
+    return basetable.prepare_parts(given, stats, standin.TRAINING), stats
+
+
+def _training_parts(spark: SparkSession, sf: str) -> basetable.OrderParts:
+    return _fitted(spark, sf)[0]
 
 
 def _basetable(spark: SparkSession, sf: str) -> DataFrame:

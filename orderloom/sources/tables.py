@@ -11,13 +11,18 @@ from orderloom.sources import schemas
 
 @dataclass(frozen=True)
 class OrderTables:
-    """The inputs of one run. Holdout runs have no reviews."""
+    """The inputs of one run. Holdout runs have no reviews.
+
+    ``tasks`` is set where items are a shared table (see ``with_shared_items``): they hold no
+    copies then, and so many tasks gather items and payments by order.
+    """
 
     orders: DataFrame
     order_items: DataFrame
     products: DataFrame
     order_payments: DataFrame
     order_reviews: DataFrame | None = None
+    tasks: int | None = None
 
 
 def _reader(spark: SparkSession, doubled_quotes: bool):
