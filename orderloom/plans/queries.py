@@ -603,9 +603,11 @@ def one_hot(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def encode_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     """Fitted on training rows with a slot for unseen values, applied to the holdout."""
-    rows = _stored(_basetable(spark, sf), *encode.PAYMENT_CATEGORICALS)
+    parts, stats = _fitted(spark, sf)
+    rows = _stored(basetable.build_basetable(parts), *encode.PAYMENT_CATEGORICALS)
     fitted = encode.encoder(encode.PAYMENT_CATEGORICALS, unseen="keep").fit(rows)
-    encoded = fitted.transform(basetable_holdout(spark, sf))
+    holdout = basetable.holdout_basetable(standin.holdout_tables(spark, sf), stats, standin.HOLDOUT)
+    encoded = fitted.transform(holdout)
     names = [stem + encode.DUMMY for stem in encode.PAYMENT_CATEGORICALS.values()]
     return encoded.select("order_id", *[_digits(F.col(n)).alias(n) for n in names])
 

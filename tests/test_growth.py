@@ -93,3 +93,12 @@ def test_one_pass_gives_the_columns_of_two(spark):
     two = items.items_per_order(items.prepare_items(given, products, stats), names)
     assert one.schema.names == two.schema.names and one.dtypes == two.dtypes
     assert sorted(map(str, one.collect())) == sorted(map(str, two.collect())) and one.count() == 3
+
+
+def test_holdout_vectors_fit_the_statistics_once(spark, folder, monkeypatch):
+    fits = []
+    fit = items.fit_item_stats
+    for module in (items, basetable):
+        monkeypatch.setattr(module, "fit_item_stats", lambda *args, **options: fits.append(1) or fit(*args, **options))
+    REGISTRY["encode_pipeline"](spark, folder)
+    assert len(fits) == 1
