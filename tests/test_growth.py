@@ -28,6 +28,11 @@ def test_what_one_task_gathers_does_not_grow_with_the_table(spark, folder, monke
     assert "SelectedBucketsCount: 29 out of 29" in plan(shared.groupBy("order_id").count())
 
 
+def test_a_task_holds_a_small_part_of_a_large_table(spark, folder, monkeypatch):
+    monkeypatch.setattr(session, "estimated_bytes", lambda df: 200 << 20)
+    assert session.tasks_for(standin.order_payments(spark, folder)) == 100
+
+
 def test_split_makes_its_rows_once(spark, folder):
     """Both sides read stored rows; nothing is joined or gathered for a side of its own."""
     text = plan(REGISTRY["split_train_test"](spark, folder))
